@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship
+from ..session import ship, written
 
 #: Characters that separate words, and the pattern of a word, in Java's and Python's syntax alike.
 SPACES = " \t\n\v\f\r"
@@ -27,28 +25,6 @@ def session(df: DataFrame) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, else one of our own (single machine only)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = "file:///tmp/checkpoints/sparkloom"
-        spark.sparkContext.setCheckpointDir(found)
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def written(df: DataFrame, name: str, row_group_mb: int = 16) -> DataFrame:
-    """The same rows, written as Parquet to the shared folder and read back.
-
-    Cuts lineage: a lost executor costs a re-read, not a recomputation. Small
-    row groups keep large binary columns splittable among readers.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("parquet.block.size", row_group_mb << 20).option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
