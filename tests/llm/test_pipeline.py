@@ -1,0 +1,33 @@
+import shutil
+
+import pytest
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def tables(tmp_path):
+    import os
+
+    if not os.path.exists(SF):
+        pytest.skip("test data isn't here")
+    for t in ("documents", "labels"):
+        shutil.copy(f"{SF}/{t}.parquet", tmp_path / f"{t}.parquet")
+    return str(tmp_path)
+
+
+def test_stages_one_by_one(spark, tables):
+    import corpus_pipeline as C
+    from sparkloom.llm import packing, quality, simhash, toxicity
+
+    assert [n for n, _ in C.STAGES] == ["quality", "toxicity", "simhash", "packing"] and C.ORACLE_SQL is None
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    labels = spark.read.parquet(f"{tables}/labels.parquet")
+    good = {r.doc_id for r in quality.op2(docs).collect() if r.kept}
+    docs = docs.filter(docs.doc_id.isin(list(good)))
+    clean = {r.doc_id for r in toxicity.op1(docs, labels).collect() if not r.predicted}
+    docs = docs.filter(docs.doc_id.isin(list(clean)))
+    once = {r.doc_id for r in simhash.op9(docs).collect() if r.doc_id == r.component_id}
+    got = C.run(spark, tables).collect()
+    assert {r.doc_id for r in got} == once
+    assert set(got[0].asDict()) == set(packing.op10(docs).columns)
