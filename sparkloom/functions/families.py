@@ -108,10 +108,14 @@ def in_family(numbers: Column, mapping: str, *names: str) -> Column:
     total = F.lit(0)
     for name, ranges in FAMILIES[mapping]:
         if name in names:
-            total = total + F.size(F.filter(numbers, lambda p, r=ranges: _within(p, r)))
+            total = total + F.size(F.filter(numbers, _tester(ranges)))
     return total
 
 
+def _tester(ranges: list[tuple[int, int]]):
+    return lambda p: _within(p, ranges)
+
+
 def _within(p: Column, ranges: list[tuple[int, int]]) -> Column:
     test = F.lit(False)
     for lo, hi in ranges:
