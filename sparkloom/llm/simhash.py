@@ -95,11 +95,15 @@ def _keys(widths: tuple[int, ...], radii: tuple[int, ...] | None):
             parts.append(F.array(code))
         else:
             masks = F.array(*[F.lit(m).cast("long") for m in _masks(w, radii[i])]) if radii[i] == 1 else F.expr(_two_masks(w))
-            parts.append(F.transform(masks, lambda m, c=code: c.bitwiseXOR(m)))
+            parts.append(_ball(code, masks))
         low += w
     return F.concat(*parts)
 
 
+def _ball(code, masks):
+    return F.transform(masks, lambda m: code.bitwiseXOR(m))
+
+
 def _two_masks(width: int) -> str:
     one = f"transform(sequence(0, {width - 1}), i -> shiftleft(1L, i))"
     two = f"flatten(transform(sequence(1, {width - 1}), i -> transform(sequence(0, i - 1), j -> shiftleft(1L, i) | shiftleft(1L, j))))"

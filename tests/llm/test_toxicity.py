@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from sparkloom.llm import toxicity as T
 
 
@@ -31,7 +33,7 @@ def test_learns_and_scores_held_out_rows(spark, docs):
 
 def test_labels_of_held_out_rows_change_nothing(spark, docs):
     rows, labels = corpus(200)
-    held = {r.doc_id for r in docs(rows).filter(T.held_out(docs(rows)["doc_id"])).collect()}
+    held = {r.doc_id for r in docs(rows).filter(T.held_out(F.col("doc_id"))).collect()}
     schema = "doc_id long, quality int, toxic int"
     a = T.op1(docs(rows), spark.createDataFrame(labels, schema)).collect()
     b = T.op1(docs(rows), spark.createDataFrame([(i, q, 1 - t if i in held else t) for i, q, t in labels], schema)).collect()
