@@ -37,11 +37,10 @@ def reason_counts(df: DataFrame, reason_col: str = "reason") -> DataFrame:
 
 
 def classify(df: DataFrame, rules: Sequence[tuple[Column, Mapping[str, Column | str | int]]], default: Mapping[str, Column | str | int | None]) -> DataFrame:
-    """df with the columns that the first matching rule names; predicates are computed once, as a rule number."""
-    (at,) = [c for c in ("__rule", "___rule") if c not in df.columns][:1]
-    numbered = df.withColumn(at, first_match([(test, F.lit(i)) for i, (test, _) in enumerate(rules)], F.lit(-1)))
-    out = {}
-    for name, other in default.items():
-        value = lambda x: x if isinstance(x, Column) else F.lit(x)
-        out[name] = first_match([(F.col(at) == i, value(v.get(name))) for i, (_, v) in enumerate(rules)], value(other))
+    """df with the columns that the first matching rule names; predicates are computed once, as a rule number
+    that picks from an array, so that plans don't grow with rules times columns."""
+    at = next(c for c in ("__rule", "___rule", "____rule") if c not in df.columns)
+    numbered = df.withColumn(at, first_match([(test, F.lit(i + 1)) for i, (test, _) in enumerate(rules)], F.lit(0)))
+    value = lambda x: x if isinstance(x, Column) else F.lit(x)
+    out = {name: F.get(F.array(value(other), *[value(v.get(name)) for _, v in rules]), F.col(at)) for name, other in default.items()}
     return numbered.withColumns(out).drop(at)
