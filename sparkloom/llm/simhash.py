@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from . import common
 
 #: (segment widths, radii): each covers distance 4, as sum(t + 1) = 5 > 4.
-PLANS = (((13, 13, 13, 13, 12), (0, 0, 0, 0, 0)), ((23, 23, 18), (1, 1, 0)), ((36, 28), (1, 2)))
+PLANS = (((23, 23, 18), (1, 1, 0)), ((36, 28), (1, 2)))
 MAX_DISTANCE = 4
 
 
@@ -158,7 +158,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b").distinct()
+        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
         now = common.written(small.select("e.a", "e.b").filter("a > b").distinct(), "links")
