@@ -51,7 +51,9 @@ def read_parquet_union(spark: SparkSession, paths: list[str], columns: Iterable[
 
 
 def headers(spark: SparkSession, path: str, glob: str = "*.csv", sep: str = ",") -> DataFrame:
-    """(path, header array, n_rows) of side files: their columns are data. An empty file has an empty header."""
+    """(path, header array, n_rows) of side files: their columns are data.
+
+    A file of blank lines has an empty header; files of no bytes are left out by Spark's reader."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     lines = F.filter(F.split(F.regexp_replace(F.col("content").cast("string"), "^\ufeff", ""), r"\r?\n"), lambda x: F.trim(x) != "")
     head = F.when(F.size("lines") > 0, F.transform(F.split(F.get("lines", F.lit(0)), sep), lambda x: F.trim(F.regexp_replace(x, '^"|"$', "")))).otherwise(F.array().cast("array<string>"))
