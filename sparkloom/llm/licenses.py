@@ -74,7 +74,8 @@ def matches(text: Column) -> Column:
     """Best (score in 1/1000, template, line, words of the line) of a text, or null: an array function without shuffle or Python."""
     idf, vectors, strong = model()
     unknown = math.log(1 + len(TEMPLATES)) + 1
-    wanted = f"(?<![a-z0-9])(?:{'|'.join(strong)})(?![a-z0-9])"
+    first = "".join(sorted({t[0] for t in strong}))  # a character class turns most positions away at once
+    wanted = f"(?=[{first}])(?<![a-z0-9])(?:{'|'.join(strong)})(?![a-z0-9])"
     weight, table = _map(idf), F.array(*[_map(v) for v in vectors])
     lines = F.split(text, "\n")
     numbered = F.filter(F.transform(lines, lambda x, i: F.struct(F.lower(x).alias("x"), i.alias("i"))), lambda s: s["x"].rlike(wanted))
@@ -101,7 +102,8 @@ def matches(text: Column) -> Column:
 def own(files: DataFrame) -> DataFrame:
     """id, path, dir, licence, score, line, is_file of files (id, path, text)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    m = files.select("id", "path", matches(text).alias("m"), F.regexp_count(text, F.lit(common.WORD)).alias("n"))
+    found = files.select("id", "path", text.alias("text"), matches(text).alias("m"))
+    m = found.select("id", "path", "m", F.when(F.col("m").isNotNull(), F.regexp_count("text", F.lit(common.WORD))).alias("n"))
     names = F.array(*[F.lit(n) for n, _ in TEMPLATES])
     return m.select(
         "id",
