@@ -34,11 +34,11 @@ def test_note_scores(spark):
 
 
 def test_abc_scores(spark):
-    scores = [("dataset/SymphonyNet/alpha.abci", ABC), ("dataset/SymphonyNet/alpha-copy.abci", ABC), ("dataset/flat/beta.abci", ABC + b"x"), ("dataset/other/piano.abci", ABC + b"y")]
+    scores = [("dataset/Collection/alpha.abci", ABC), ("dataset/Collection/alpha-copy.abci", ABC), ("dataset/flat/beta.abci", ABC + b"x"), ("dataset/other/piano.abci", ABC + b"y")]
     midis = [("original/alpha.mid", b""), ("original/betafile.mid", b"")]
     hints = [("dataset/flat/beta.json", ["original/betafile.mid"])]
     kind = "member string, content binary"
-    rows = S.abc_scores(spark.createDataFrame(scores, kind), spark.createDataFrame(midis, kind), ["/SymphonyNet/"], hints=spark.createDataFrame(hints, "member string, names array<string>"))
+    rows = S.abc_scores(spark.createDataFrame(scores, kind), spark.createDataFrame(midis, kind), ["/Collection/"], hints=spark.createDataFrame(hints, "member string, names array<string>"))
     got = {r.member.rsplit("/", 1)[1]: r for r in rows.collect()}
     assert set(got) == {"alpha.abci", "alpha-copy.abci", "beta.abci"}
     assert got["beta.abci"].selection_method == "sidecar-json" and got["beta.abci"].midi_member == "original/betafile.mid"
