@@ -10,7 +10,10 @@ Small sequential transducers then rewrite the symbols of a clause:
     threat: counts in full only together with a target
 
 They are composed into one transducer, whose run over a clause gives its score;
-words outside a matching clause score nothing. A text's evidence is the sum, over
+a run from right to left goes first and marks insults and threats that a target
+follows, so that a target counts on either side (a threat weighs in full before
+its target, and by the target rule a little more after it). Words outside a
+matching clause score nothing. A text's evidence is the sum, over
 the distinct lexicon entries it uses, of the entry's best clause score; a logistic
 curve turns evidence into a score.
 
@@ -49,6 +52,8 @@ REPORTS = "said says say called calls calling wrote writes told claimed quoted s
 LETTERS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 CLAUSE = re.compile(r"[.!?;:\n]+")
 OTHER, INSULT, THREAT, TARGET, NEGATOR, REPORT = "other", "insult", "threat", "target", "negator", "report"
+#: Insults and threats that a target follows in the clause.
+AIMED_INSULT, AIMED_THREAT = "aimed insult", "aimed threat"
 STEM_MIN, STEM_MAX = 3, 10
 
 
@@ -82,20 +87,24 @@ def compose(a: Transducer, b: Transducer, symbols: Iterable[str]) -> Transducer:
 
 
 def grammar() -> Transducer:
-    """The composed transducer over the six symbols."""
+    """The composed transducer over the six symbols and the two that AHEAD makes."""
     less, half, more = math.log(0.25), math.log(0.6), math.log(1.3)
-    hits = (INSULT, THREAT)
+    hits = (INSULT, THREAT, AIMED_INSULT, AIMED_THREAT)
     negation = Transducer(0, {(s, NEGATOR): (3, NEGATOR, 0.0) for s in range(4)} | {(s, h): (0, h, less) for s in (1, 2, 3) for h in hits}, {s: max(0, s - 1) for s in range(4)})
     report = Transducer(0, {(0, REPORT): (1, REPORT, 0.0)} | {(1, h): (1, h, half) for h in hits})
-    target = Transducer(0, {(0, TARGET): (1, TARGET, 0.0)} | {(1, h): (1, h, more) for h in hits})
-    threat = Transducer(0, {(s, THREAT): (1, THREAT, 0.0 if s == 2 else math.log(0.1)) for s in (0, 1)} | {(s, TARGET): (2, TARGET, 0.0) for s in (0, 1)} | {(2, THREAT): (2, THREAT, 0.0)})
-    symbols = (OTHER, INSULT, THREAT, TARGET, NEGATOR, REPORT)
+    target = Transducer(0, {(0, TARGET): (1, TARGET, 0.0), (0, AIMED_INSULT): (0, INSULT, more), (1, AIMED_INSULT): (1, INSULT, more)} | {(1, h): (1, h, more) for h in hits if h != AIMED_INSULT})
+    threat = Transducer(0, {(s, THREAT): (1, THREAT, 0.0 if s == 2 else math.log(0.1)) for s in (0, 1)} | {(s, TARGET): (2, TARGET, 0.0) for s in (0, 1)} | {(2, THREAT): (2, THREAT, 0.0)} | {(s, AIMED_THREAT): (max(s, 1), THREAT, 0.0) for s in (0, 1, 2)})
+    symbols = (OTHER, INSULT, THREAT, TARGET, NEGATOR, REPORT, AIMED_INSULT, AIMED_THREAT)
     out = negation
     for t in (report, target, threat):
         out = compose(out, t, symbols)
     return out
 
 
+#: Runs over a clause from right to left.
+AHEAD = Transducer(0, {(0, TARGET): (1, TARGET, 0.0), (1, INSULT): (1, AIMED_INSULT, 0.0), (1, THREAT): (1, AIMED_THREAT, 0.0)})
+
+
 class Lexicon:
     """Trie lookups by dictionaries: the longest entry wins, a whole word before any stem."""
 
@@ -140,9 +149,12 @@ def evidence(text: str, lexicon: Lexicon, rules: Transducer) -> float:
         hit = [lexicon.entry(w) if w[:STEM_MIN] in lexicon.starts else None for w in words]
         if not any(hit) and lexicon.threats.isdisjoint(words):
             continue
+        symbols = [INSULT if e else THREAT if w in lexicon.threats else lexicon.plain.get(w, OTHER) for w, e in zip(words, hit, strict=True)]
+        state = AHEAD.start
+        for i in reversed(range(len(symbols))):
+            state, symbols[i], _ = AHEAD.step(state, symbols[i])
         state, aim = rules.start, []
-        for w, e in zip(words, hit, strict=True):
-            symbol = INSULT if e else THREAT if w in lexicon.threats else lexicon.plain.get(w, OTHER)
+        for w, e, symbol in zip(words, hit, symbols, strict=True):
             state, out, log = rules.step(state, symbol)
             if out == INSULT:
                 aim.append((e, lexicon.weight(e) * math.exp(log)))

@@ -64,6 +64,15 @@ def test_grammar():
     assert T.evidence("", lexicon, rules) == 0.0
 
 
+def test_target_on_either_side():
+    lexicon, rules = T.Lexicon({"idiot": 4.0}, {}), T.grammar()
+    for text in ("i will kill you", "we will hurt you", "töten dich"):
+        assert T.evidence(text, lexicon, rules) == T.THREAT_WEIGHT
+    assert T.evidence("i will kill it. you", lexicon, rules) < 1  # a target of another clause
+    assert T.evidence("i will not kill you", lexicon, rules) == T.THREAT_WEIGHT * 0.25
+    assert T.evidence("idiot, you", lexicon, rules) == T.evidence("you, idiot", lexicon, rules) == T.evidence("you idiot, you", lexicon, rules) > 4.0
+
+
 def test_composition_runs_both():
     a = T.Transducer(0, {(0, "x"): (1, "y", -1.0)})
     b = T.Transducer("p", {("p", "y"): ("q", "z", -2.0)})
