@@ -169,24 +169,56 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components: not settled")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42, max_bucket: int = 256, plan=None) -> DataFrame:
-    """(id, fp, component) for each row of docs; component is the least id that can be reached by links.
+def _grouped(each: DataFrame, max_bucket: int = 256, plan=None) -> DataFrame:
+    """(fp, rep, rows, root, least) for each distinct fingerprint of `each` (id, fp): the least id and the number of its rows, the
+    least fingerprint that links reach, and the least id of the component.
 
     Pairs are never formed among copies: equal fingerprints fold into one node
     first, so a group of any size is one row of the search.
     """
-    spark = common.session(docs)
-    each = common.written(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp", 4)
     nodes = common.written(each.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("rows")), "simhash-nodes", 4)
-    n, total = nodes.agg(F.count("*"), F.sum("rows")).first()
-    roots = components(links(nodes, n, max_bucket, plan))
+    roots = components(links(nodes, nodes.count(), max_bucket, plan))
     tied = roots.select(F.col("node").alias("fp"), "root").unionByName(roots.select(F.col("root").alias("fp"), "root")).distinct()
     tied = tied.join(nodes.select("fp", "rep"), "fp")
     least = tied.groupBy("root").agg(F.min("rep").alias("least"))
-    tied = tied.join(least, "root").select("fp", "least")
-    to = nodes.join(tied, "fp", "left").select("fp", F.coalesce("least", "rep").alias("component"))
-    hot = common.hot_keys(nodes, "fp", "rows", total or 0, common.partitions(spark))
-    return common.salted_left_join(each, to, "fp", hot, "id").select("id", "fp", "component")
+    tied = tied.join(least, "root").select("fp", "root", "least")
+    return nodes.join(tied, "fp", "left").select("fp", "rep", "rows", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "rep").alias("least"))
+
+
+def _dealt(rows: DataFrame, groups: DataFrame, by: str, *columns: str) -> DataFrame:
+    """rows (with fp) and the given columns of groups, hot fingerprints salted by `by`."""
+    groups = common.written(groups, "simhash-groups", 4)
+    total = groups.agg(F.sum("rows")).first()[0] or 0
+    hot = common.hot_keys(groups, "fp", "rows", total, common.partitions(rows.sparkSession))
+    return common.salted_left_join(rows, groups.select("fp", *columns), "fp", hot, by)
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42, max_bucket: int = 256, plan=None) -> DataFrame:
+    """(id, fp, component) for each row of docs; component is the least id that can be reached by links."""
+    each = common.written(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp", 4)
+    groups = _grouped(each, max_bucket, plan).withColumnRenamed("least", "component")
+    return _dealt(each, groups, "id", "component").select("id", "fp", "component")
+
+
+def with_fingerprint(docs: DataFrame, name: str, text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
+    """docs and the fingerprint of each row's text as the column `name`."""
+    common.session(docs)
+
+    @F.arrow_udf("long")
+    def run(texts: pa.Array) -> pa.Array:
+        fps = np.array([fingerprint(t or b"", shingle, seed) for t in texts.cast(pa.binary()).to_pylist()], np.uint64)
+        return pa.array(fps.view(np.int64))
+
+    return docs.withColumn(name, run(F.col(text_col).cast("string")))
+
+
+def classes(rows: DataFrame, id_col: str, name: str) -> DataFrame:
+    """rows (with fp) and, as the column `name`, the least fingerprint of each row's component: a near-duplicate class by row, whatever the ids.
+
+    rows are read more than once.
+    """
+    groups = _grouped(rows.select(F.col(id_col).alias("id"), "fp")).withColumnRenamed("root", name)
+    return _dealt(rows, groups, id_col, name)
 
 
 def op9(docs: DataFrame) -> DataFrame:
@@ -195,8 +227,17 @@ def op9(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs without the near copies: of each component that with the least id stays, once."""
-    near = near_duplicates(docs, id_col, text_col)
-    (rep,) = common.hidden(docs, "rep")
-    stay = near.filter(F.col("id").eqNullSafe(F.col("component"))).select(F.col("id").alias(rep)).distinct()
-    return docs.join(stay, F.col(id_col).eqNullSafe(F.col(rep)), "left_semi").dropDuplicates([id_col])
+    """The rows of docs without the near copies: of each component one row of the least id stays (null ids come last).
+
+    Rows are told apart by id and fingerprint: documents of unlike texts that
+    share an id, or have none, are judged each by its own component.
+    """
+    names = docs.columns
+    fp, rep, mark = common.hidden(docs, "fp", "rep", "mark")
+    rows = common.written(with_fingerprint(docs, fp, text_col), "simhash-rows")
+    groups = _grouped(rows.select(F.col(id_col).alias("id"), F.col(fp).alias("fp")))
+    # each fingerprint's least id is its rep, so that of the component is among them
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "fp")).alias("s"))
+    stay = first.select(F.col("s.rep").alias(rep), F.col("s.fp").alias(mark))
+    kept = rows.join(stay, F.col(id_col).eqNullSafe(F.col(rep)) & (F.col(fp) == F.col(mark)), "left_semi")
+    return kept.dropDuplicates([id_col, fp]).select(*[F.col(f"`{c}`") for c in names])

@@ -83,6 +83,14 @@ def test_keep_first(docs, odd):
     assert simhash.keep_first(odd).filter("doc_id = 4").count() == 1
 
 
+def test_keep_first_with_null_and_repeated_ids(docs):
+    rng = random.Random(4)
+    a, b, c, d, e = (" ".join(rng.choices(WORDS, k=60)) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (None, c), (1, c), (2, d), (5, d), (5, e), (6, e), (6, e)]
+    got = simhash.keep_first(docs(rows)).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted([(None, a), (None, b), (1, c), (2, d), (5, e)], key=repr)
+
+
 def test_fingerprint_of_long_text_in_parts():
     text = " ".join(random.Random(0).choices(WORDS, k=70_000))
     words = text.encode().split()
