@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import common
+from . import common, simhash
 
 CAPACITY = 2048
 
@@ -61,12 +61,15 @@ def pack(items: list[tuple[int, int, int]], capacity: int, max_per_source: int)
     return out
 
 
-def packed(docs: DataFrame, capacity: int = CAPACITY, max_per_source: int = 4, shard_rows: int = 1024, cluster_col: str | None = None) -> DataFrame:
+def packed(docs: DataFrame, capacity: int = CAPACITY, max_per_source: int = 4, shard_rows: int = 1024, cluster_col: str | None = None, near: bool = False) -> DataFrame:
     """doc_id, piece, start_word, n_words, bin_id, bin_offset: one row for each piece.
 
-    cluster_col names the duplicate cluster of a row; by default rows of equal text are one cluster.
+    cluster_col names the duplicate cluster of a row; by default rows of equal text are one cluster,
+    with `near` all rows that simhash links.
     """
     common.session(docs)
+    if near:
+        docs = simhash.with_fingerprint(docs, fp := common.hidden(docs, "fp")[0])
     n_rows = docs.count()
     shards = max(1, -(-n_rows // shard_rows))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -75,8 +78,10 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, max_per_source: int = 4, s
         "doc_id",
         F.regexp_count(text, F.lit(common.WORD)).cast("long").alias("n"),
         F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("\0"))).alias("source"),
-        (F.xxhash64(F.col(cluster_col)) if cluster_col else F.xxhash64(text)).alias("cluster"),
+        F.col(fp).alias("fp") if near else (F.xxhash64(F.col(cluster_col)) if cluster_col else F.xxhash64(text)).alias("cluster"),
     )
+    if near:
+        items = simhash.classes(common.written(items, "packing-items", 4), "doc_id", "cluster").drop("fp")
     kind = docs.schema["doc_id"].dataType
     names = ["doc_id", "piece", "start_word", "n_words", "bin_id", "bin_offset"]
     schema = T.StructType([T.StructField("doc_id", kind)] + [T.StructField(c, T.LongType()) for c in names[1:]])
@@ -103,4 +108,5 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, max_per_source: int = 4, s
 
 
 def op10(docs: DataFrame) -> DataFrame:
-    return packed(docs)
+    """Bins of all documents; near copies never share one."""
+    return packed(docs, near=True)

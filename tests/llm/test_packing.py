@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 from sparkloom.llm import packing as P
+from sparkloom.llm import simhash
 
 
 def brute(items, capacity, most):
@@ -62,6 +63,24 @@ def test_bins(docs):
     assert P.packed(df, 100, 3, 64).collect().sort() == got.sort()
 
 
+def test_near_copies_never_share_a_bin(docs):
+    rng = random.Random(2)
+    rows = []
+    for _ in range(12):
+        words = [f"w{rng.randrange(500)}" for _ in range(120)]
+        for k in range(5):
+            copy = [w.upper() if k == 1 else w for w in words]
+            if k > 1:
+                copy[-1] = f"other{k}"
+            rows.append((len(rows), ("  " if k == 4 else " ").join(copy)))
+    df = docs(rows)
+    component = {r.doc_id: r.component_id for r in simhash.op9(df).collect()}
+    assert len(set(component.values())) < 30
+    got = P.op10(df).collect()
+    assert len({(r.bin_id, component[r.doc_id]) for r in got}) == len(got) == len(rows)
+    assert len({r.bin_id for r in got}) < len(rows)  # others still share
+
+
 def test_odd_rows(odd):
     got = P.op10(odd).collect()
     assert len({r.doc_id for r in got}) == 8 and sum(r.n_words for r in got if r.doc_id == 5) == 30000
