@@ -107,8 +107,12 @@ def quantiles(sketch: DataFrame, *by: str) -> DataFrame:
     return run.groupBy(*by, "measure").agg(F.max("rows").alias("rows"), at(1).alias("q25"), at(3).alias("q75"))
 
 
-def fences(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
-    """One row for each (lang, source) with hi_<measure>, and lo_<measure> where there is a lower fence."""
+def fences(rows: DataFrame, min_rows: int = MIN_ROWS, bounded: bool = False) -> DataFrame:
+    """One row for each (lang, source) with hi_<measure>, and lo_<measure> where there is a lower fence.
+
+    With `bounded` no group has a looser fence against junk (measures without a lower
+    fence) than its language, or than all rows: a source can't excuse its own junk.
+    """
     own = common.written(sketches(rows), "quality-sketch", 4)
     fine = quantiles(own, "lang", "source")
     lang = quantiles(merged(own, "lang"), "lang").select("lang", "measure", *[F.col(c).alias(f"l_{c}") for c in ("rows", "q25", "q75")])
@@ -116,10 +120,12 @@ def fences(rows: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     best = fine.join(lang, ["lang", "measure"]).join(F.broadcast(whole), "measure")
     for c in ("q25", "q75"):
         best = best.withColumn(f"b_{c}", F.when(F.col("rows") >= min_rows, F.col(c)).when(F.col("l_rows") >= min_rows, F.col(f"l_{c}")).otherwise(F.col(f"w_{c}")))
+    hi = "b_q75 + 3 * (b_q75 - b_q25)"
+    least = f"least({hi}, w_q75 + 3 * (w_q75 - w_q25), CASE WHEN l_rows >= {min_rows} THEN l_q75 + 3 * (l_q75 - l_q25) END)"  # least() skips nulls
     out = []
     for m, (_, slack, lower) in MEASURES.items():
         of = lambda e, m=m: F.max(F.when(F.col("measure") == m, F.expr(e)))
-        out.append(of(f"b_q75 + 3 * (b_q75 - b_q25) + {slack}").alias(f"hi_{m}"))
+        out.append(of(f"{least if bounded and not lower else hi} + {slack}").alias(f"hi_{m}"))
         if lower:
             out.append(of(f"b_q25 - 3 * (b_q75 - b_q25) - {slack}").alias(f"lo_{m}"))
     return best.groupBy("lang", "source").agg(F.max("rows").alias("rows"), *out)
@@ -175,12 +181,13 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
     Fences come from a first pass that keeps only counts; the second pass measures again and
     filters in place, so that no text is shuffled and each row is judged by itself.
+    Unlike those of op2, whose fences are as its SQL states them, the fences are bounded.
     """
     names = docs.columns
     m, lang, source, row = common.hidden(docs, "m", "lang", "source", "row")
     both = measured(docs, m).withColumn(lang, F.coalesce(F.col("lang").cast("string"), F.lit(""))).withColumn(source, F.coalesce(F.col("source").cast("string"), F.lit("")))
     first = _with_measures(both.select(F.col(lang).alias("lang"), F.col(source).alias("source"), f"{m}.*"))
-    limits = fences(first.filter("NOT base_failed"))
+    limits = fences(first.filter("NOT base_failed"), bounded=True)
     packed = both.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(row), F.col(lang).alias("lang"), F.col(source).alias("source"), F.col("doc_id").alias("by"), f"{m}.*")
     good = _joined(_with_measures(packed), limits, "by").filter(_verdict())
     return good.select(*[F.col(row).getField(c).alias(c) for c in names])

@@ -59,6 +59,18 @@ def test_keep_good(docs, odd):
     assert quality.keep_good(odd.limit(0)).count() == 0 and quality.op2(odd.limit(0)).count() == 0
 
 
+def test_junk_sources_get_no_looser_fence(docs):
+    rng = random.Random(5)
+
+    def source(name, first, n, junk):
+        body = [(first + i, " ".join("".join(rng.choices("abcdefgh", k=5)) + ("***" if i < junk else "") for _ in range(30))) for i in range(n)]
+        return docs(body, source=name)
+
+    df = source("clean", 0, 1500, 0).unionByName(source("some", 2000, 300, 90)).unionByName(source("most", 3000, 300, 240))
+    kept = {r.doc_id for r in quality.keep_good(df).collect()}
+    assert kept == {*range(1500), *range(2090, 2300), *range(3240, 3300)}
+
+
 def test_sketches_merge(docs, spark):
     rows = spark.createDataFrame([("a", str(i % 3), i * i % 5000, i % 7, 0, i) for i in range(3000)], "lang string, source string, symbols long, adjacent long, dup_lines long, word_len long")
     own = quality.sketches(rows)
