@@ -190,11 +190,12 @@ def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     picked = ids[0].unionByName(ids[1]).withColumn("half", F.pmod("h", F.lit(2)).cast("int"))
     text = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("string").alias("text"))
     rows = text.join(F.broadcast(picked), "id")  # at most 9,000 ids are broadcast
-    return rows.withColumn("sign", F.arrow_udf(_sign, "long")(F.col("text"))).dropDuplicates(["sign"]).select("text", "toxic", "half")
+    first = rows.withColumn("sign", F.arrow_udf(_sign, "long")(F.col("text"))).groupBy("sign", "toxic").agg(F.min(F.struct("id", "text", "half")).alias("s"))
+    return first.select("s.text", "toxic", "s.half")
 
 
 def _sign(texts: pa.Array) -> pa.Array:
-    """A value that near copies mostly share: a hash of the three least hashes of a text's long words.
+    """A value that near copies mostly share: a hash of the three least hashes of a text's long words, of the whole text if it has fewer than three.
 
     Learning counts a group of copies once; else each word of a much-copied text would look like a mark of its label.
     """
@@ -202,7 +203,7 @@ def _sign(texts: pa.Array) -> pa.Array:
     for t in texts.to_pylist():
         words = {w for w in LETTERS.findall((t or "").lower()) if len(w) >= 7}
         least = sorted(xxhash.xxh64_intdigest(w.encode()) for w in words)[:3]
-        out.append(xxhash.xxh64_intdigest(repr(least or t).encode()) >> 1)
+        out.append(xxhash.xxh64_intdigest(repr(least if len(least) == 3 else t).encode()) >> 1)
     return pa.array(out, pa.int64())
 
 

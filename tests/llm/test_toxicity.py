@@ -73,6 +73,16 @@ def test_target_on_either_side():
     assert T.evidence("idiot, you", lexicon, rules) == T.evidence("you, idiot", lexicon, rules) == T.evidence("you idiot, you", lexicon, rules) > 4.0
 
 
+def test_sample_folds_near_copies_of_one_label(spark, docs):
+    ids = [r.id for r in spark.range(100).filter(~T.held_out(F.col("id"))).orderBy("id").limit(7).collect()]
+    copy = "several considerable elephants wandering"
+    texts = ["you are pathetic", "he isn't pathetic", "so pathetic", copy, copy + " on", copy + " by", "you are pathetic"]
+    toxic = [1, 0, 1, 0, 0, 1, 1]
+    labels = spark.createDataFrame(list(zip(ids, [1] * 7, toxic)), "doc_id long, quality int, toxic int")
+    got = T.sample(docs(list(zip(ids, texts))), labels).collect()
+    assert sorted((r.text, r.toxic) for r in got) == sorted((texts[i], toxic[i]) for i in (0, 1, 2, 3, 5))
+
+
 def test_composition_runs_both():
     a = T.Transducer(0, {(0, "x"): (1, "y", -1.0)})
     b = T.Transducer("p", {("p", "y"): ("q", "z", -2.0)})
