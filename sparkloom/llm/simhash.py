@@ -15,19 +15,22 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
 
 #: (segment widths, radii): each covers distance 4, as sum(t + 1) = 5 > 4.
-PLANS = (((23, 23, 18), (1, 1, 0)), ((36, 28), (1, 2)))
+PLANS = (((23, 23, 18), (1, 1, 0)), ((36, 28), (1, 2)), ((32, 32), (1, 2)))
+#: A plan is for as many fingerprints as fill its narrowest table with this many to a bucket, if they were random.
+FILL = 32
+#: Bits by which fingerprints are turned before full buckets are cut by segments once more, so that other bits meet.
+TURN = 11
 MAX_DISTANCE = 4
 
 
@@ -68,13 +71,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def choose_plan(n: int) -> tuple[tuple[int, ...], tuple[int, ...]]:
-    """The plan with the least expected work for n distinct fingerprints: lookups plus chance candidates. All plans are exact."""
-
-    def cost(plan):
-        balls = [sum(comb(w, k) for k in range(t + 1)) for w, t in zip(*plan, strict=True)]
-        return n * sum(balls) + n * n / 2 * sum(b / 2**w for b, (w, _) in zip(balls, zip(*plan, strict=True), strict=True))
-
-    return min(PLANS, key=cost)
+    """The plan with the fewest lookups whose buckets n distinct fingerprints don't fill by chance. All plans are exact."""
+    return next((p for p in PLANS if n <= FILL << min(p[0])), PLANS[-1])
 
 
 def _masks(width: int, radius: int) -> list[int]:
@@ -86,11 +84,11 @@ def _masks(width: int, radius: int) -> list[int]:
     return out
 
 
-def _keys(widths: tuple[int, ...], radii: tuple[int, ...] | None):
-    """An array column of (segment, value) codes: the own ones, or those of the whole Hamming balls."""
+def _keys(fp, widths: tuple[int, ...], radii: tuple[int, ...] | None):
+    """An array column of (segment, value) codes: the own ones, or those of the whole Hamming balls, each ball's own code first."""
     parts, low = [], 0
     for i, w in enumerate(widths):
-        code = F.shiftrightunsigned("fp", low).bitwiseAND(F.lit((1 << w) - 1)) + F.lit(i << 58)
+        code = F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << w) - 1)) + F.lit(i << 58)
         if radii is None or radii[i] == 0:
             parts.append(F.array(code))
         else:
@@ -110,40 +108,54 @@ def _two_masks(width: int) -> str:
     return f"concat(array(0L), {one}, {two})"
 
 
-def links(nodes: DataFrame, n: int, max_bucket: int = 256, plan=None) -> DataFrame:
-    """(a, b), a > b: all pairs of distinct fingerprints within distance 4, for buckets of up to max_bucket;
-    for fuller buckets, star edges that connect just what all of their links would connect.
-
-    A bucket past max_bucket isn't paired up. Its fingerprints, and those that
-    look it up, are linked by midpoints instead: a and b are within 4 exactly if
-    some value is within 2 of both, so each is filed under the values of its
-    radius-2 ball and gets an edge to the least one filed there. This is linear in
-    the number of such fingerprints, and the least-of is combined before the shuffle.
+def _met(probes: DataFrame, filed: DataFrame, keys: list[str], max_bucket: int, *rest: str) -> DataFrame:
+    """For each lookup: fp, keys, rest, whether its bucket is full (hot), else the lesser members within MAX_DISTANCE (near). Lookups without either are left out.
+
+    Both sides are exploded rows, whose number the planner doesn't foresee: it must not broadcast one.
     """
-    spark = nodes.sparkSession
-    widths, radii = plan or choose_plan(n)
-    filed = nodes.select("fp", F.explode(_keys(widths, None)).alias("key"))
-    w = F.row_number().over(_window("key", "fp"))
-    buckets = filed.withColumn("rn", w).filter(F.col("rn") <= max_bucket + 1).groupBy("key").agg(F.collect_list("fp").alias("members"))
-    probes = nodes.select("fp", F.explode(_keys(widths, radii)).alias("key"))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy("fp"))
+    buckets = filed.withColumn("rn", rank).filter(F.col("rn") <= max_bucket + 1).groupBy(*keys).agg(F.collect_list("fp").alias("members"))
     near = F.filter("members", lambda m: (m < F.col("fp")) & (F.bit_count(m.bitwiseXOR(F.col("fp"))) <= MAX_DISTANCE))
     hot = F.size("members") > max_bucket
-    met = probes.join(buckets, "key").select("fp", hot.alias("hot"), F.when(hot, F.expr("cast(array() as array<bigint>)")).otherwise(near).alias("near"))
-    met = common.written(met.filter(F.col("hot") | (F.size("near") > 0)), "simhash-met")
-    out = met.select(F.col("fp").alias("a"), F.explode("near").alias("b")).distinct()
-    crowd = met.filter("hot").select("fp").distinct()
-    if crowd.isEmpty():
-        return out
-    ball = crowd.select("fp", F.explode(F.transform(F.expr(_two_masks(64)), lambda m: m.bitwiseXOR(F.col("fp")))).alias("mid"))
-    least = ball.groupBy("mid").agg(F.min("fp").alias("b"))
-    hot_mids = ball.join(least, "mid").filter(F.col("fp") > F.col("b")).select(F.col("fp").alias("a"), "b").distinct()
-    return out.unionByName(hot_mids).distinct()
+    none = F.expr("cast(array() as array<bigint>)")
+    both = probes.hint("merge").join(buckets.hint("merge"), keys)
+    met = both.select("fp", *keys, *rest, hot.alias("hot"), F.when(hot, none).otherwise(near).alias("near"))
+    return common.written(met.filter(F.col("hot") | (F.size("near") > 0)), "simhash-met", 4)
 
 
-def _window(part: str, order: str):
-    from pyspark.sql import Window
+def _pairs(met: DataFrame) -> DataFrame:
+    return met.select(F.col("fp").alias("a"), F.explode("near").alias("b")).distinct()
 
-    return Window.partitionBy(part).orderBy(order)
+
+def links(nodes: DataFrame, n: int, max_bucket: int = 256, plan=None) -> DataFrame:
+    """(a, b), a > b: all pairs of distinct fingerprints within distance 4 that meet in a bucket of up to max_bucket;
+    where they meet in fuller buckets only, star edges that connect just what their links would connect.
+
+    The members of a full bucket, and those that look it up, are filed and looked up once more
+    by bucket and segments of the turned fingerprint, which parts fingerprints that only share the first
+    segment: two within distance 4 meet under some first and some second segment. What is full even
+    then is a dense cluster, whose links are as many as the square of its size. For it the whole
+    fingerprint is the one segment: each is filed under its Hamming ball of radius 2, and a and b are
+    within 4 exactly if their balls meet. Each gets an edge to the least fingerprint filed under each value, which
+    is linear in the number of such fingerprints, and the least-of is combined before the shuffle.
+    """
+    widths, radii = plan or choose_plan(n)
+    code = F.explode(_keys(F.col("fp"), widths, radii)).alias("key")
+    own = F.array_contains(_keys(F.col("fp"), widths, None), F.col("key")).alias("own")
+    met = _met(nodes.select("fp", code).select("*", own), nodes.select("fp", F.explode(_keys(F.col("fp"), widths, None)).alias("key")), ["key"], max_bucket, "own")
+    out = _pairs(met)
+    full = met.filter("hot").select("fp", "key", "own")
+    if full.isEmpty():
+        return out
+    turned = F.shiftleft("fp", TURN).bitwiseOR(F.shiftrightunsigned("fp", 64 - TURN))
+    again = lambda rows, radii: rows.select("fp", "key", F.explode(_keys(turned, PLANS[0][0], radii)).alias("key2"))
+    deep = _met(again(full, PLANS[0][1]), again(full.filter("own"), None), ["key", "key2"], max_bucket)
+    out = out.unionByName(_pairs(deep))
+    crowd = deep.filter("hot").select("fp").distinct()
+    ball = crowd.select("fp", F.explode(F.transform(F.expr(_two_masks(64)), lambda m: m.bitwiseXOR(F.col("fp")))).alias("mid"))
+    least = ball.groupBy("mid").agg(F.min("fp").alias("b"))
+    star = ball.hint("merge").join(least.hint("merge"), "mid").filter(F.col("fp") > F.col("b")).select(F.col("fp").alias("a"), "b")
+    return out.unionByName(star.distinct()).distinct()
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
