@@ -3,10 +3,18 @@
 Each text gets integer measures. For every (language, source) a sketch counts
 the values of each measure in log-linear buckets (32 to each doubling, so a
 quantile is off by 1/32 at most); sketches merge by adding counts, which is how
-they travel through the shuffle and how a small group falls back on its
-language's sketch or on that of all rows. From a sketch come fences: an upper one
-at q75 + 3 (q75 - q25) plus a tolerance, for word length a lower one alike.
-The fences are joined back to the rows, and rows outside any fence are rejected.
+they travel through the shuffle and how those of a language and of all rows come from
+those of its sources. From a sketch come fences: an upper one at q75 + 10 (q75 - q50), for word
+length also a lower one at q25 - 10 (q50 - q25), which up to a quarter of junk doesn't move. A group's fence is shrunk towards that of
+its language, and this towards that of all rows, in proportion of PRIOR rows to its own,
+so that small groups lean on larger ones without any switch. For shares of junk no fence is
+looser than that of the language or of all rows: a source can't excuse its own junk.
+
+The fences of word length are of the rows that the others keep, lest they be those of junk.
+
+The fences are joined back to the rows. A row is rejected if its mean word length is
+outside, or if it has more symbols, repeated neighbours or repeated lines than a text of its size
+at the fence would have by chance: more than x + 3 sqrt(x) + 1, x being what the fence allows.
 
 Rules for odd input: a null text has no words (and so fails the base rule); null
 languages or sources count as ''; an empty table gives no rows; repeated rows are
@@ -26,15 +34,17 @@ from . import common
 
 FIELDS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_adjacent")
 SYMBOLS = "#*$%&|<>"
-#: measure: (SQL over FIELDS, tolerance beyond the fence, whether it has a lower fence too). Shares are in 1/10,000, word length in 1/100.
+#: measure: (SQL over FIELDS, the count and the size it is a share of). Shares are in 1/10,000, word length in 1/100.
 MEASURES = {
-    "symbols": ("10000 * n_symbols div greatest(word_chars, 1)", 300, False),
-    "adjacent": ("10000 * n_adjacent div greatest(n_words, 1)", 800, False),
-    "dup_lines": ("10000 * n_dup_lines div greatest(n_lines, 1)", 5000, False),
-    "word_len": ("100 * word_chars div greatest(n_words, 1)", 400, True),
+    "symbols": ("10000 * n_symbols div greatest(word_chars, 1)", ("n_symbols", "word_chars")),
+    "adjacent": ("10000 * n_adjacent div greatest(n_words, 1)", ("n_adjacent", "n_words")),
+    "dup_lines": ("10000 * n_dup_lines div greatest(n_lines, 1)", ("n_dup_lines", "n_lines")),
+    "word_len": ("100 * word_chars div greatest(n_words, 1)", None),
 }
-#: A group with fewer rows takes the fences of its language, and a language with fewer those of all rows.
-MIN_ROWS = 200
+#: How many spreads of the outer quarters a fence is away.
+SPREAD = 10
+#: Rows' worth of weight that the fences of the language have in those of a group, and those of all rows in those of a language.
+PRIOR = 200
 #: Fences for at most so many groups are broadcast; beyond, they are joined with salted hot groups.
 BROADCAST_GROUPS = 50_000
 
@@ -89,9 +99,14 @@ def _upper(bucket: str) -> Column:
     return F.expr(f"CASE WHEN {bucket} < 64 THEN {bucket} ELSE shiftleft({bucket} - ({bucket} div 32 - 1) * 32 + 1, cast({bucket} div 32 - 1 as int)) - 1 END")
 
 
-def sketches(rows: DataFrame) -> DataFrame:
-    """(lang, source, measure, bucket, n) from rows with lang, source and the measures as columns."""
-    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), _bucket(F.col(m)).cast("long").alias("bucket")) for m in MEASURES])
+def _lower(bucket: str) -> Column:
+    """The least value of a bucket."""
+    return F.expr(f"CASE WHEN {bucket} < 64 THEN {bucket} ELSE shiftleft({bucket} - ({bucket} div 32 - 1) * 32, cast({bucket} div 32 - 1 as int)) END")
+
+
+def sketches(rows: DataFrame, names: tuple[str, ...] = tuple(MEASURES)) -> DataFrame:
+    """(lang, source, measure, bucket, n) from rows with lang, source and the named measures as columns."""
+    pairs = F.array(*[F.struct(F.lit(m).alias("measure"), _bucket(F.col(m)).cast("long").alias("bucket")) for m in names])
     return rows.select("lang", "source", F.explode(pairs).alias("x")).groupBy("lang", "source", "x.measure", "x.bucket").agg(F.count("*").alias("n"))
 
 
@@ -100,35 +115,41 @@ def merged(sketch: DataFrame, *by: str) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, *by: str) -> DataFrame:
-    """(by..., measure, rows, q25, q75) of sketches; a window holds one sketch, of some hundred buckets."""
+    """(by..., measure, rows, q25, q50, q75, and l25, the lower end of the bucket of q25) of sketches; a window holds one sketch, of some hundred buckets."""
     w = Window.partitionBy(*by, "measure")
     run = sketch.withColumn("rows", F.sum("n").over(w)).withColumn("cum", F.sum("n").over(w.orderBy("bucket")))
-    at = lambda q: F.min(F.when(F.col("cum") * 4 >= F.col("rows") * q, _upper("bucket")))
-    return run.groupBy(*by, "measure").agg(F.max("rows").alias("rows"), at(1).alias("q25"), at(3).alias("q75"))
+    at = lambda k, end: F.min(F.when(F.col("cum") * 4 >= F.col("rows") * k, end("bucket")))
+    return run.groupBy(*by, "measure").agg(F.max("rows").alias("rows"), *[at(k, _upper).alias(f"q{25 * k}") for k in (1, 2, 3)], at(1, _lower).alias("l25"))
 
 
-def fences(rows: DataFrame, min_rows: int = MIN_ROWS, bounded: bool = False) -> DataFrame:
-    """One row for each (lang, source) with hi_<measure>, and lo_<measure> where there is a lower fence.
+def _limits(own: DataFrame) -> DataFrame:
+    """(lang, source, measure, rows, hi, lo) of sketches, shrunk towards those of the language and of all rows."""
+    own = common.written(own, "quality-sketch", 4)
+
+    def ends(q: DataFrame, name: str, *by: str) -> DataFrame:
+        of = {"hi": f"q75 + {SPREAD} * (q75 - q50)", "lo": f"greatest(0, l25 - {SPREAD} * (q50 - q25))"}
+        return q.select(*by, "measure", F.col("rows").alias(f"n_{name}"), *[F.expr(e).alias(f"{k}_{name}") for k, e in of.items()])
+
+    group = ends(quantiles(own, "lang", "source"), "g", "lang", "source")
+    lang = ends(quantiles(merged(own, "lang"), "lang"), "l", "lang")
+    whole = ends(quantiles(merged(own)), "w")  # one row for each measure
+    best = group.join(lang, ["lang", "measure"]).join(F.broadcast(whole), "measure")
+    for k in ("hi", "lo"):
+        best = best.withColumn(f"{k}_l", F.expr(f"(n_l * {k}_l + {PRIOR} * {k}_w) div (n_l + {PRIOR})"))
+        best = best.withColumn(f"{k}_g", F.expr(f"(n_g * {k}_g + {PRIOR} * {k}_l) div (n_g + {PRIOR})"))
+    hi = F.when(F.col("measure") == "word_len", F.col("hi_g")).otherwise(F.least("hi_g", "hi_l", "hi_w"))
+    return best.select("lang", "source", "measure", F.col("n_g").alias("rows"), hi.alias("hi"), F.col("lo_g").alias("lo"))
 
-    With `bounded` no group has a looser fence against junk (measures without a lower
-    fence) than its language, or than all rows: a source can't excuse its own junk.
-    """
-    own = common.written(sketches(rows), "quality-sketch", 4)
-    fine = quantiles(own, "lang", "source")
-    lang = quantiles(merged(own, "lang"), "lang").select("lang", "measure", *[F.col(c).alias(f"l_{c}") for c in ("rows", "q25", "q75")])
-    whole = quantiles(merged(own)).select("measure", *[F.col(c).alias(f"w_{c}") for c in ("q25", "q75")])
-    best = fine.join(lang, ["lang", "measure"]).join(F.broadcast(whole), "measure")
-    for c in ("q25", "q75"):
-        best = best.withColumn(f"b_{c}", F.when(F.col("rows") >= min_rows, F.col(c)).when(F.col("l_rows") >= min_rows, F.col(f"l_{c}")).otherwise(F.col(f"w_{c}")))
-    hi = "b_q75 + 3 * (b_q75 - b_q25)"
-    least = f"least({hi}, w_q75 + 3 * (w_q75 - w_q25), CASE WHEN l_rows >= {min_rows} THEN l_q75 + 3 * (l_q75 - l_q25) END)"  # least() skips nulls
-    out = []
-    for m, (_, slack, lower) in MEASURES.items():
-        of = lambda e, m=m: F.max(F.when(F.col("measure") == m, F.expr(e)))
-        out.append(of(f"{least if bounded and not lower else hi} + {slack}").alias(f"hi_{m}"))
-        if lower:
-            out.append(of(f"b_q25 - 3 * (b_q75 - b_q25) - {slack}").alias(f"lo_{m}"))
-    return best.groupBy("lang", "source").agg(F.max("rows").alias("rows"), *out)
+
+def fences(rows: DataFrame, by: str) -> DataFrame:
+    """One row for each (lang, source) with its number of rows and hi_<measure>, and lo_word_len."""
+    of = lambda m, c: F.max(F.when(F.col("measure") == m, F.col(c)))
+    shares = tuple(m for m, (_, of_) in MEASURES.items() if of_)
+    first = _limits(sketches(rows, shares)).groupBy("lang", "source").agg(F.max("rows").alias("rows"), *[of(m, "hi").alias(f"hi_{m}") for m in shares])
+    first = common.written(first, "quality-shares", 4)
+    clean = _joined(rows, first, by).filter(_shares_kept())
+    second = _limits(sketches(clean, ("word_len",))).select("lang", "source", F.col("hi").alias("hi_word_len"), F.col("lo").alias("lo_word_len"))
+    return first.join(second, ["lang", "source"], "left")
 
 
 def measured(docs: DataFrame, struct: str) -> DataFrame:
@@ -139,7 +160,7 @@ def measured(docs: DataFrame, struct: str) -> DataFrame:
 def _with_measures(rows: DataFrame) -> DataFrame:
     """From columns lang, source and FIELDS: the measures, and base_failed."""
     failed = F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words")
-    return rows.select("*", *[F.expr(e).alias(m) for m, (e, _, _) in MEASURES.items()], failed.alias("base_failed"))
+    return rows.select("*", *[F.expr(e).alias(m) for m, (e, _) in MEASURES.items()], failed.alias("base_failed"))
 
 
 def _joined(rows: DataFrame, limits: DataFrame, by: str) -> DataFrame:
@@ -154,13 +175,18 @@ def _joined(rows: DataFrame, limits: DataFrame, by: str) -> DataFrame:
     return common.salted_left_join(rows, limits, "group", hot, by)
 
 
+def _shares_kept() -> Column:
+    ok = F.lit(True)
+    for m, (_, of) in MEASURES.items():
+        if of:
+            x = F.col(f"hi_{m}") * F.col(of[1]) / F.lit(10000.0)
+            ok = ok & (F.col(of[0]) <= x + 3 * F.sqrt(x) + 1)
+    return F.coalesce(ok, F.lit(False))
+
+
 def _verdict() -> Column:
-    ok = ~F.col("base_failed")
-    for m, (_, _, lower) in MEASURES.items():
-        ok = ok & F.coalesce(F.col(m) <= F.col(f"hi_{m}"), F.lit(True))
-        if lower:
-            ok = ok & F.coalesce(F.col(m) >= F.col(f"lo_{m}"), F.lit(True))
-    return ok
+    """Whether a row with its fences is kept; a group without fences has no row to keep."""
+    return F.coalesce(~F.col("base_failed") & _shares_kept() & F.expr("word_len BETWEEN lo_word_len AND hi_word_len"), F.lit(False))
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -168,7 +194,7 @@ def judged(docs: DataFrame) -> DataFrame:
     (m,) = common.hidden(docs, "m")
     flat = measured(docs.select("doc_id", "lang", "source", "text"), m).select("doc_id", *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")], f"{m}.*")
     rows = common.written(_with_measures(flat), "quality-rows", 4)
-    limits = fences(rows.filter("NOT base_failed"))
+    limits = fences(rows.filter("NOT base_failed"), "doc_id")
     return _joined(rows, limits, "doc_id").withColumn("kept", _verdict())
 
 
@@ -179,20 +205,38 @@ def op2(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs that the rules keep, with the columns of docs.
 
-    Fences come from a first pass that keeps only counts; the second pass measures again and
-    filters in place, so that no text is shuffled and each row is judged by itself.
-    Unlike those of op2, whose fences are as its SQL states them, the fences are bounded.
+    Texts are measured once: the rows are written with their measures, then met by the fences.
     """
     names = docs.columns
     m, lang, source, row = common.hidden(docs, "m", "lang", "source", "row")
     both = measured(docs, m).withColumn(lang, F.coalesce(F.col("lang").cast("string"), F.lit(""))).withColumn(source, F.coalesce(F.col("source").cast("string"), F.lit("")))
-    first = _with_measures(both.select(F.col(lang).alias("lang"), F.col(source).alias("source"), f"{m}.*"))
-    limits = fences(first.filter("NOT base_failed"), bounded=True)
-    packed = both.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(row), F.col(lang).alias("lang"), F.col(source).alias("source"), F.col("doc_id").alias("by"), f"{m}.*")
-    good = _joined(_with_measures(packed), limits, "by").filter(_verdict())
+    both = both.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias(row), F.col(lang).alias("lang"), F.col(source).alias("source"), F.col("doc_id").alias("by"), f"{m}.*")
+    rows = common.written(both, "quality-docs")
+    limits = fences(_with_measures(rows.drop(row)).filter("NOT base_failed"), "by")
+    good = _joined(_with_measures(rows), limits, "by").filter(_verdict())
     return good.select(*[F.col(row).getField(c).alias(c) for c in names])
 
 
+def _levels(src: str, end: str) -> str:
+    """SQL of the fences <src><end> (lang, source, measure, hi, lo, lhi, ahi) of rows `src` (lang, source, measure, x)."""
+    quarters = "count(*) AS n, min(top) FILTER (c * 4 >= k) AS q1, min(low) FILTER (c * 4 >= k) AS l1, min(top) FILTER (c * 4 >= k * 2) AS q2, min(top) FILTER (c * 4 >= k * 3) AS q3"
+    hi, lo = f"q3 + {SPREAD} * (q3 - q2)", f"greatest(0, l1 - {SPREAD} * (q2 - q1))"
+
+    def cut(by: str) -> str:
+        return f"SELECT {by}, {quarters} FROM (SELECT *, count(*) OVER (PARTITION BY {by}) AS k, count(*) OVER (PARTITION BY {by} ORDER BY top) AS c FROM {src}e) GROUP BY {by}"
+
+    return f"""{src}b AS (SELECT *, greatest(length(bin(x)) - 6, 0) AS s FROM {src}),
+{src}e AS (SELECT lang, source, measure, (((x >> s) + 1) << s) - 1 AS top, (x >> s) << s AS low FROM {src}b),
+{src}q AS ({cut('lang, source, measure')}),
+{src}r AS ({cut('lang, measure')}),
+{src}t AS ({cut('measure')}),
+{src}a AS (SELECT measure, {hi} AS hi, {lo} AS lo FROM {src}t),
+{src}l AS (SELECT lang, measure, (n * ({hi}) + {PRIOR} * a.hi) // (n + {PRIOR}) AS hi, (n * {lo} + {PRIOR} * a.lo) // (n + {PRIOR}) AS lo FROM {src}r JOIN {src}a a USING (measure)),
+{src}{end} AS (
+  SELECT q.lang, source, measure, l.hi AS lhi, a.hi AS ahi, (n * ({hi}) + {PRIOR} * l.hi) // (n + {PRIOR}) AS hi, (n * {lo} + {PRIOR} * l.lo) // (n + {PRIOR}) AS lo
+  FROM {src}q q JOIN {src}l l USING (lang, measure) JOIN {src}a a USING (measure)),"""
+
+
 ORACLE = """
 WITH t AS (
   SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text,
@@ -215,31 +259,17 @@ v AS (
          10000 * n_symbols // greatest(word_chars, 1) AS symbols, 10000 * n_adjacent // greatest(n_words, 1) AS adjacent,
          10000 * n_dup_lines // greatest(n_lines, 1) AS dup_lines, 100 * word_chars // greatest(n_words, 1) AS word_len
   FROM m),
-u AS (UNPIVOT (SELECT lang, source, symbols, adjacent, dup_lines, word_len FROM v WHERE NOT base_failed)
-      ON symbols, adjacent, dup_lines, word_len INTO NAME measure VALUE x),
-b AS (SELECT lang, source, measure, x, greatest(length(bin(x)) - 6, 0) AS s FROM u),
-e AS (SELECT lang, source, measure, (((x >> s) + 1) << s) - 1 AS top FROM b),
-q AS (
-  SELECT lang, source, measure, count(*) AS n, min(top) FILTER (c * 4 >= k) AS q25, min(top) FILTER (c * 4 >= k * 3) AS q75
-  FROM (SELECT *, count(*) OVER (PARTITION BY lang, source, measure) AS k, count(*) OVER (PARTITION BY lang, source, measure ORDER BY top) AS c FROM e) GROUP BY 1, 2, 3),
-ql AS (
-  SELECT lang, measure, count(*) AS n, min(top) FILTER (c * 4 >= k) AS q25, min(top) FILTER (c * 4 >= k * 3) AS q75
-  FROM (SELECT *, count(*) OVER (PARTITION BY lang, measure) AS k, count(*) OVER (PARTITION BY lang, measure ORDER BY top) AS c FROM e) GROUP BY 1, 2),
-qa AS (
-  SELECT measure, min(top) FILTER (c * 4 >= k) AS q25, min(top) FILTER (c * 4 >= k * 3) AS q75
-  FROM (SELECT *, count(*) OVER (PARTITION BY measure) AS k, count(*) OVER (PARTITION BY measure ORDER BY top) AS c FROM e) GROUP BY 1),
-z AS (
-  SELECT q.lang, q.source, measure,
-         CASE WHEN q.n >= 200 THEN q.q25 WHEN ql.n >= 200 THEN ql.q25 ELSE qa.q25 END AS q25,
-         CASE WHEN q.n >= 200 THEN q.q75 WHEN ql.n >= 200 THEN ql.q75 ELSE qa.q75 END AS q75
-  FROM q JOIN ql USING (lang, measure) JOIN qa USING (measure)),
+u AS (UNPIVOT (SELECT lang, source, symbols, adjacent, dup_lines FROM v WHERE NOT base_failed) ON symbols, adjacent, dup_lines INTO NAME measure VALUE x),
+""" + _levels("u", "g") + """
 f AS (
-  SELECT lang, source, max(hi) FILTER (measure = 'symbols') AS h1, max(hi) FILTER (measure = 'adjacent') AS h2,
-         max(hi) FILTER (measure = 'dup_lines') AS h3, max(hi) FILTER (measure = 'word_len') AS h4, max(lo) FILTER (measure = 'word_len') AS l4
-  FROM (SELECT *, q75 + 3 * (q75 - q25) + CASE measure WHEN 'symbols' THEN 300 WHEN 'adjacent' THEN 800 WHEN 'dup_lines' THEN 5000 ELSE 400 END AS hi,
-               q25 - 3 * (q75 - q25) - 400 AS lo FROM z) GROUP BY 1, 2)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND coalesce(symbols <= h1, true) AND coalesce(adjacent <= h2, true) AND coalesce(dup_lines <= h3, true)
-       AND coalesce(word_len <= h4, true) AND coalesce(word_len >= l4, true) AS kept
-FROM v LEFT JOIN f USING (lang, source)
+  SELECT lang, source, max(least(hi, lhi, ahi)) FILTER (measure = 'symbols') AS h1, max(least(hi, lhi, ahi)) FILTER (measure = 'adjacent') AS h2,
+         max(least(hi, lhi, ahi)) FILTER (measure = 'dup_lines') AS h3
+  FROM ug GROUP BY 1, 2),
+x AS (SELECT *, h1 * word_chars / 10000.0::DOUBLE AS x1, h2 * n_words / 10000.0::DOUBLE AS x2, h3 * n_lines / 10000.0::DOUBLE AS x3 FROM v LEFT JOIN f USING (lang, source)),
+y AS (SELECT *, coalesce(NOT base_failed AND n_symbols <= x1 + 3 * sqrt(x1) + 1 AND n_adjacent <= x2 + 3 * sqrt(x2) + 1 AND n_dup_lines <= x3 + 3 * sqrt(x3) + 1, false) AS shares FROM x),
+w AS (SELECT lang, source, 'word_len' AS measure, word_len AS x FROM y WHERE shares),
+""" + _levels("w", "g") + """
+k AS (SELECT lang, source, hi AS h4, lo AS l4 FROM wg)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, coalesce(shares AND word_len BETWEEN l4 AND h4, false) AS kept
+FROM y LEFT JOIN k USING (lang, source)
 """

@@ -71,10 +71,42 @@ def test_junk_sources_get_no_looser_fence(docs):
     assert kept == {*range(1500), *range(2090, 2300), *range(3240, 3300)}
 
 
+def test_each_rule_rejects_its_kind(docs):
+    rng = random.Random(6)
+    plain = [(i, "\n".join(" ".join("".join(rng.choices("abcdefgh", k=rng.randrange(3, 8))) for _ in range(8)) for _ in range(rng.randrange(4, 12)))) for i in range(600)]
+    line = lambda: " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(3, 8))) for _ in range(8))
+    odd = {
+        1001: "\n".join([line() + " # $ %"] * 1 + [line() + " & * <" for _ in range(6)]),  # symbols
+        1002: "\n".join(" ".join(w for w in line().split() for _ in range(2)) for _ in range(5)),  # neighbours repeat
+        1003: "\n".join([line() for _ in range(40)] + ["a b"] * 5),  # lines repeat
+        1004: "\n".join("".join(rng.choices("abcdefgh", k=30)) + " " + "".join(rng.choices("abcdefgh", k=30)) for _ in range(8)),  # long words
+        1005: "\n".join("a b c d e f g h".replace("a", rng.choice("xyz") + str(i)) for i in range(8)),  # short words
+    }
+    rows = {r.doc_id: r for r in quality.judged(docs(plain + list(odd.items()))).collect()}
+    assert all(not rows[i].base_failed and not rows[i].kept for i in odd if i != 1005)
+    assert sum(rows[i].kept for i, _ in plain) >= 590
+
+
+def test_fences_adapt_to_language_and_source(docs):
+    rng = random.Random(7)
+
+    def source(name, lang, first, low, high):
+        body = [(first + i, " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(low, high))) for _ in range(60))) for i in range(400)]
+        return docs(body, lang=lang, source=name)
+
+    df = source("news", "en", 0, 3, 7).unionByName(source("law", "en", 1000, 6, 14)).unionByName(source("news", "de", 2000, 4, 12))
+    rows = quality.judged(df).collect()
+    limits = {(r.lang, r.source): (r.lo_word_len, r.hi_word_len) for r in rows}
+    assert len(set(limits.values())) == 3 and limits["en", "law"][0] > limits["en", "news"][0]
+    assert sum(r.kept for r in rows) > 0.98 * len(rows)
+
+
 def test_sketches_merge(docs, spark):
     rows = spark.createDataFrame([("a", str(i % 3), i * i % 5000, i % 7, 0, i) for i in range(3000)], "lang string, source string, symbols long, adjacent long, dup_lines long, word_len long")
     own = quality.sketches(rows)
-    whole = {(r.measure): (r.q25, r.q75) for r in quality.quantiles(quality.merged(own)).collect()}
+    whole = {(r.measure): (r.l25, r.q25, r.q75) for r in quality.quantiles(quality.merged(own)).collect()}
     values = sorted(i * i % 5000 for i in range(3000))
-    for got, exact in zip(whole["symbols"], (values[749], values[2249])):
+    low, *ends = whole["symbols"]
+    assert low <= values[749] < low + low / 32 + 1
+    for got, exact in zip(ends, (values[749], values[2249])):
         assert exact <= got <= exact * (1 + 1 / 32) + 1
