@@ -17,7 +17,7 @@ matching clause score nothing. A text's evidence is the sum, over
 the distinct lexicon entries it uses, of the entry's best clause score; a logistic
 curve turns evidence into a score.
 
-Entry weights (smoothed log-odds of a text being toxic) and the curve are learned
+Entry weights (smoothed log-odds of a text being toxic) and the curve are learned (entries are whole words and stems of 3 to 10 letters)
 from labelled rows: those whose crc32(doc_id as text) mod 4 isn't 2, and of them a
 bounded sample in hash order, MAX_POSITIVE toxic and MAX_NEGATIVE other rows. Only
 the text is an input of a score.
@@ -168,7 +168,7 @@ def evidence(text: str, lexicon: Lexicon, rules: Transducer) -> float:
 def _features(text: str) -> set[str]:
     out = set()
     for w in set(LETTERS.findall(text.lower())):
-        out.add(f"w:{w}" if len(w) <= 24 else "w:")
+        out.add(f"w:{w}")
         for n in range(STEM_MIN, min(STEM_MAX, len(w) - 1) + 1):
             out.add(f"p:{w[:n]}")
     return out

@@ -1,4 +1,6 @@
+import math
 import random
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -89,3 +91,55 @@ def test_composition_runs_both():
     c = T.compose(a, b, ["x", "y"])
     assert c.step(c.start, "x") == ((1, "q"), "z", -3.0)
     assert c.step((1, "q"), "x") == ((1, "q"), "x", 0.0)
+
+
+def slow_evidence(text, lexicon):
+    """By positions instead of transducers."""
+    best = {}
+    for clause in T.CLAUSE.split(text.lower()):
+        words = T.LETTERS.findall(clause)
+        entries = [lexicon.entry(w) for w in words]
+        hits = [i for i, w in enumerate(words) if entries[i] or w in T.THREATS]
+        for i in hits:
+            before, after = words[:i], words[i + 1 :]
+            plain = lambda w, kinds: lexicon.entry(w) is None and w not in T.THREATS and w in kinds
+            negated = any(plain(words[j], T.NEGATORS) and not any(j < h < i for h in hits) for j in range(max(0, i - 3), i))
+            aimed_before, aimed_after = any(plain(w, T.TARGETS) for w in before), any(plain(w, T.TARGETS) for w in after)
+            x = (0.25 if negated else 1.0) * (0.6 if any(plain(w, T.REPORTS) for w in before) else 1.0)
+            if entries[i]:
+                name, x = entries[i], x * lexicon.weight(entries[i]) * (1.3 if aimed_before or aimed_after else 1.0)
+            else:
+                name, x = f"t:{words[i]}", x * T.THREAT_WEIGHT * (1.0 if aimed_before or aimed_after else 0.1) * (1.3 if aimed_before else 1.0)
+            best[name] = max(best.get(name, 0.0), x)
+    return sum(best.values())
+
+
+def test_evidence_as_by_positions():
+    rng = random.Random(11)
+    lexicon = T.Lexicon({"idiot": 4.0, "moron": 2.5}, {"stup": 3.0})
+    vocabulary = ["idiot", "moron", "stupid", "stupendous", "kill", "hurt", "you", "your", "not", "never", "said", "calls", "the", "a", "river", "they"]
+    rules = T.grammar()
+    for _ in range(3000):
+        text = " ".join(rng.choice(vocabulary) + rng.choice(["", "", "", "", ".", ",", "!"]) for _ in range(rng.randrange(1, 14)))
+        assert abs(T.evidence(text, lexicon, rules) - slow_evidence(text, lexicon)) < 1e-9, text
+
+
+def test_query_as_by_positions(spark, docs):
+    """The whole query: its scores are the logistic curve of the slow evidence under the model it learned."""
+    rng = random.Random(12)
+    vocabulary = ["river", "stone", "garden", "letter", "window", "you", "not", "said", "the", "people"]
+    rows, marks = [], []
+    for i in range(400):
+        words = rng.choices(vocabulary, k=rng.randrange(4, 30))
+        if i % 4 == 0:
+            words.insert(rng.randrange(len(words)), rng.choice(["idiots", "worthless", "wretchkin"]))
+        rows.append((i, " ".join(words) + rng.choice([".", "! And then more", ""])))
+        marks.append((i, int(i % 4 == 0)))
+    df, labels = docs(rows), spark.createDataFrame(marks, "doc_id long, toxic int")
+    lexicon, a, b = T.learn(df, labels)
+    got = {r.doc_id: r for r in T.op1(df, labels).collect()}
+    for i, text in rows:
+        want = 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * min(slow_evidence(text, lexicon), 30.0)))))
+        assert abs(got[i].score - want) < 1e-9 and got[i].predicted == (want >= 0.3) and got[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+    held = [r for r in got.values() if r.held_out]
+    assert sum(r.predicted == (r.doc_id % 4 == 0) for r in held) > 0.95 * len(held)
