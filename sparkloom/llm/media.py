@@ -3,10 +3,10 @@
 Companded samples are expanded by 256-entry lookup tables. ADPCM blocks are
 decoded with numpy across blocks: a step handles the n-th sample of all blocks of
 a batch of rows at once. The 8 kHz result is resampled to 16 kHz by a half-band
-interpolator and stored as 16-bit PCM.
+interpolator to 16-bit PCM.
 
 `stored` puts bytes into WAV containers as they are; `decoded` reads the
-containers back. `op4` takes texts for signals: their UTF-8 bytes, with bytes 0
+containers back; `resampled` stores the sound as WAV files of PCM. `op4` takes texts for signals: their UTF-8 bytes, with bytes 0
 appended up to a positive multiple of 64, are the payload, and crc32 of the
 payload mod 3 picks the codec, so equal texts get equal values.
 
@@ -32,6 +32,7 @@ from . import common
 RATE, UNIT = 8000, 64
 #: WAV format tags.
 TAGS = {"mulaw": 7, "alaw": 6, "adpcm": 17}
+PCM = 1
 #: Fixed values of the IMA ADPCM standard: step sizes, and index changes by the low three bits.
 STEPS = np.array(
     [7, 8, 9, 10, 11, 12, 13, 14, 16, 17, 19, 21, 23, 25, 28, 31, 34, 37, 41, 45, 50, 55, 60, 66, 73, 80, 88, 97, 107, 118, 130, 143, 157, 173, 190, 209, 230, 253, 279, 307, 337, 371, 408, 449, 494, 544, 598, 658, 724, 796, 876, 963, 1060, 1166, 1282, 1411, 1552, 1707, 1878, 2066, 2272, 2499, 2749, 3024, 3327, 3660, 4026, 4428, 4871, 5358, 5894, 6484, 7132, 7845, 8630, 9493, 10442, 11487, 12635, 13899, 15289, 16818, 18500, 20350, 22385, 24623, 27086, 29794, 32767],
@@ -98,6 +99,13 @@ def to_wav(payload: bytes, codec: str, block: int = UNIT) -> bytes:
     return b"RIFF" + struct.pack("<I", 4 + len(chunks)) + b"WAVE" + chunks
 
 
+def pcm_wav(pcm: bytes, rate: int) -> bytes:
+    """A mono WAV file of 16-bit PCM."""
+    fmt = struct.pack("<HHIIHH", PCM, 1, rate, 2 * rate, 2, 16)
+    chunks = b"fmt " + struct.pack("<I", len(fmt)) + fmt + b"data" + struct.pack("<I", len(pcm)) + pcm
+    return b"RIFF" + struct.pack("<I", 4 + len(chunks)) + b"WAVE" + chunks
+
+
 def from_wav(media: bytes) -> tuple[str, int, bytes]:
     """(codec, block size, payload) of a WAV file; ValueError if it isn't one of a known codec."""
     if media[:4] != b"RIFF" or media[8:12] != b"WAVE":
@@ -192,6 +200,21 @@ def decoded(media: DataFrame, id_col: str = "id", media_col: str = "media") -> D
     return media.select(F.col(id_col).alias("id"), media_col, *rest).mapInArrow(run, schema)
 
 
+def resampled(media: DataFrame, id_col: str = "id", media_col: str = "media") -> DataFrame:
+    """id, wav, rate, n_samples, error: the sound of each medium as a WAV file of 16-bit PCM, written to the shared folder; other columns of media follow.
+
+    It takes 2 bytes a sample before compression: 4 for each byte of mu-law or A-law, 7.6 for one of ADPCM.
+    """
+    sound = decoded(media, id_col, media_col).drop("codec", "payload", "peak", "energy", "crossings")
+
+    @F.arrow_udf("binary")
+    def wav(pcm: pa.Array, rate: pa.Array) -> pa.Array:
+        return pa.array([None if x is None else pcm_wav(x, r) for x, r in zip(pcm.to_pylist(), rate.to_pylist(), strict=True)], pa.binary())
+
+    rest = [c for c in sound.columns if c not in ("id", "pcm", "rate", "n_samples", "error")]
+    return common.written(sound.select("id", wav("pcm", "rate").alias("wav"), "rate", "n_samples", "error", *rest), "media-pcm")
+
+
 def op4(docs: DataFrame) -> DataFrame:
     """Digests of each text's payload as read back, of its stored form, and of its sound."""
     kept = stored(docs)

@@ -1,4 +1,6 @@
+import io
 import random
+import wave
 import zlib
 from hashlib import sha256
 
@@ -80,3 +82,13 @@ def test_damaged_media(spark):
     got = {r.id: r for r in M.decoded(spark.createDataFrame(rows, "id long, media binary")).collect()}
     assert got[1].error == "null" and got[2].error and got[2].pcm is None
     assert got[3].error is None and got[3].n_samples == 128 and got[3].peak == 0
+
+
+def test_resampled_sound_is_stored(spark):
+    rows = [(1, None, "x"), (2, b"junk", "y"), (3, M.to_wav(bytes(range(256)), "alaw"), "z"), (4, M.to_wav(bytes(range(64)) * 2, "adpcm"), None)]
+    got = {r.id: r for r in M.resampled(spark.createDataFrame(rows, "id long, media binary, name string")).collect()}
+    assert got[1].wav is None and got[1].error == "null" and got[2].wav is None and got[2].name == "y"
+    for i, pcm in ((3, M.ALAW), (4, np.concatenate([slow_adpcm(bytes(range(64)))] * 2).astype(np.int16))):
+        with wave.open(io.BytesIO(got[i].wav)) as w:
+            assert (w.getnchannels(), w.getsampwidth(), w.getframerate()) == (1, 2, 16000)
+            assert w.readframes(w.getnframes()) == M.resample(pcm).tobytes() and w.getnframes() == got[i].n_samples
