@@ -90,7 +90,7 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, max_per_source: int = 4, s
         doc, n, source, cluster = (table.column(c).to_pylist() for c in ("doc_id", "n", "source", "cluster"))
         shard = table.column("shard")[0].as_py() << 32
         code = [{x: i for i, x in enumerate(dict.fromkeys(xs))} for xs in (source, cluster)]
-        order = sorted(range(len(doc)), key=lambda i: (-(n[i] % capacity or min(n[i], capacity)), doc[i] is None, doc[i] or 0, cluster[i]))
+        order = sorted(range(len(doc)), key=lambda i: (-(n[i] % capacity or min(n[i], capacity)), doc[i] is None, 0 if doc[i] is None else doc[i], cluster[i]))
         rest = [n[i] % capacity or min(n[i], capacity) for i in order]
         spots = pack([(r, code[0][source[i]], code[1][cluster[i]]) for i, r in zip(order, rest, strict=True)], capacity, max_per_source)
         last = max((no for no, _ in spots), default=-1)
