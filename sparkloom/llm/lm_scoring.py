@@ -167,8 +167,11 @@ def asked(bundles: DataFrame, parts: int) -> DataFrame:
     return bundles.select("block", "em", "held", "sizes", "body").mapInArrow(run, ASKED)
 
 
-def told(requests: DataFrame) -> DataFrame:
-    """Answers: total counts for each request, for the deleted part also its own; block -1 has N and V of a bucket."""
+def told(requests: DataFrame, parts: int) -> DataFrame:
+    """Answers: total counts for each request, for the deleted part also its own; block -1 has N and V of a bucket.
+
+    Each bucket is a partition of its own, so that a task's share follows the number of buckets, not the chance by which a hash would throw several together.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         out = []
@@ -195,7 +198,7 @@ def told(requests: DataFrame) -> DataFrame:
         names = ["block", "which", "bucket", "n", "total", "part"]
         return pa.table({c: pa.array(v, t) for c, v, t in zip(names, zip(*out, strict=True), types, strict=True)})
 
-    return requests.groupBy("bucket").applyInArrow(run, TOLD)
+    return requests.repartitionById(parts, F.col("bucket")).groupBy("bucket").applyInArrow(run, TOLD)
 
 
 def _answers(right: pa.Table, column: str) -> list[np.ndarray]:
@@ -278,7 +281,8 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     spark = common.session(docs)
     kind = docs.schema[id_col].dataType
     bundles = common.written(blocks(docs, id_col, text_col), "lm-blocks", 8)
-    answers = common.written(told(asked(bundles, common.partitions(spark))), "lm-answers", 8)
+    parts = common.partitions(spark)
+    answers = common.written(told(asked(bundles, parts), parts), "lm-answers", 8)
     sums = {r.which: r.n for r in answers.filter("block = -1").groupBy("which").agg(F.sum("n").alias("n")).collect()}
     total, vocabulary, part = (sums.get(k) or 0 for k in (0, 1, 2))
     answers = answers.filter("block >= 0")
