@@ -158,22 +158,29 @@ def links(nodes: DataFrame, n: int, max_bucket: int = 256, plan=None) -> DataFra
     return out.unionByName(star.distinct()).distinct()
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """edges (a, b) and m, the least b of their a. The centre of a star may have a large part of all edges: its rows are dealt out by b."""
+    least = common.written(edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")), "links-least", 4)
+    total = least.agg(F.sum("n")).first()[0] or 0
+    hot = common.hot_keys(least, "a", "n", total, common.partitions(edges.sparkSession))
+    return common.salted_left_join(edges, least.drop("n"), "a", hot, "b")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): for each node of the edges (a, b) the least node it can reach.
 
     Alternates the large-star and small-star steps, which keep all connections
-    and shorten paths, until the edges stop changing. Each round is written to
+    and shorten paths, until the edges stop changing. Each step is written to
     the shared folder. Raises if max_rounds don't suffice (they do for 2^30 nodes).
     """
     now = common.written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a > b").distinct(), "links")
     seen = None
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a > b")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
-        now = common.written(small.select("e.a", "e.b").filter("a > b").distinct(), "links")
+        large = _with_least(both).withColumn("m", F.least("a", "m")).filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = common.written(large.filter("a > b").distinct(), "links-large")
+        pairs = F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))
+        now = common.written(_with_least(large).select(F.explode(pairs).alias("e")).select("e.a", "e.b").filter("a > b").distinct(), "links")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 40))).first()
         if state == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -67,6 +67,25 @@ def test_full_buckets_lose_no_link(docs):
     assert sorted(((r.id, f"{r.fp & (1 << 64) - 1:016x}", r.component) for r in got), key=repr) == brute_components(rows)
 
 
+def test_full_buckets_of_unlike_fingerprints(spark):
+    """Many fingerprints that share a segment by chance, some of them near each other: the second cut parts them, and finds all links."""
+    rng = random.Random(8)
+    fps = set()
+    for _ in range(600):
+        fp = rng.getrandbits(46) | 5 << 46 if rng.random() < 0.8 else rng.getrandbits(64)
+        fps.add(fp)
+        for _ in range(rng.randrange(3)):
+            for b in rng.sample(range(64), rng.randrange(1, 6)):
+                fp ^= 1 << b
+            fps.add(fp)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    want = {(a, b) for a in signed for b in signed if a > b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 4}
+    nodes = spark.createDataFrame([(f,) for f in signed], "fp long")
+    for bucket in (16, 1000):  # the full one is cut once more, or isn't full
+        got = [tuple(r) for r in simhash.links(nodes, len(signed), bucket).collect()]
+        assert set(got) == want and len(got) == len(want) > 100
+
+
 def test_odd_rows(odd, spark):
     got = simhash.op9(odd).collect()
     want = brute_components([(r.doc_id, r.text) for r in odd.collect()])
