@@ -142,3 +142,29 @@ def canonical(path: Column | str, noise: Iterable[str] = ()) -> Column:
     if words:
         name = F.regexp_replace(F.regexp_replace(name, rf"^(?:{words})[_\- ]+", ""), rf"[_\- ]+(?:{words})$", "")
     return F.regexp_replace(name, "[^a-z0-9]+", "")
+
+
+def json_ints(numbers: Column) -> Column:
+    """Compact JSON of an array of ints, '[]' for null."""
+    return F.coalesce(F.to_json(numbers), F.lit("[]"))
+
+
+def instant(c: Column | str) -> Column:
+    """A timestamp of ISO 8601 text, null if it isn't one."""
+    return F.try_to_timestamp(norm_text(c))
+
+
+def iso_now() -> Column:
+    """The time of the query in UTC as ISO 8601 text."""
+    return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+
+
+def seconds_between(start: Column | str, end: Column | str) -> Column:
+    """Seconds from one ISO 8601 text to another, null if either isn't one."""
+    at = lambda c: F.unix_micros(instant(c))
+    return (at(end) - at(start)) / 1e6
+
+
+def sql_text(value: str) -> str:
+    """A text as a SQL literal. Where a query can take parameters (spark.sql(args=...)) those are to be preferred."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

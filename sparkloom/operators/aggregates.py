@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,6 +14,27 @@ def top_k(df: DataFrame, key: str, ordinal: str, k: int | None = None) -> DataFr
     return out.limit(k) if k else out
 
 
+def delimited_counts(df: DataFrame, column: str, separator: str = "|") -> DataFrame:
+    """(item, rows) of a column that lists items; empty items don't count."""
+    items = df.select(F.explode(F.split(F.col(column), f"\\Q{separator}\\E")).alias("item")).filter("item != ''")
+    return items.groupBy("item").agg(F.count("*").alias("rows"))
+
+
+def counters(df: DataFrame, tests: Mapping[str, Column]) -> DataFrame:
+    """One row, one pass: how many rows there are, and for how many each test is true."""
+    return df.agg(F.count("*").alias("total"), *[F.count_if(F.coalesce(t, F.lit(False))).alias(name) for name, t in tests.items()])
+
+
+def match_rate(df: DataFrame, test: Column) -> Column:
+    """The share of rows for which the test is true, 0 of none."""
+    return F.coalesce(F.try_divide(F.count_if(test), F.count("*")), F.lit(0.0))
+
+
+def rare_items(long: DataFrame, row_id: str, item: str, n_rows: int, share: float = 0.01) -> DataFrame:
+    """(item, records_present) of items in less than `share` of the rows; an item at just that share isn't among them."""
+    return long.groupBy(item).agg(F.countDistinct(row_id).alias("records_present")).filter(F.col("records_present") / F.lit(max(n_rows, 1)) < share)
+
+
 def long_form(df: DataFrame, row_id: str, item: str) -> DataFrame:
     """(row_id, item, n) of rows that name one item each."""
     return df.groupBy(row_id, item).agg(F.count("*").alias("n"))
@@ -34,14 +55,14 @@ def rarity(long: DataFrame, row_id: str, item: str, n_rows: int, rare: float = 0
     """(row_id, n_items, rarity, rare_items) of a long form: -log10 of the least frequency among a row's items, plus 0.04 an item.
 
     Frequencies are of rows that have the item, and an item is rare at a frequency of
-    `rare` or less. They come from a partially combined count and are joined back by item;
+    `rare` or less; rare items come in order of frequency, then of the item. They come from a partially combined count and are joined back by item;
     a hot item's join partition is for adaptive execution to split.
     """
     freq = long.groupBy(item).agg((F.count("*") / F.lit(n_rows)).alias("__f"))
     met = long.join(freq, item)
-    out = met.groupBy(row_id).agg(F.count("*").alias("n_items"), F.min("__f").alias("__m"), F.array_sort(F.collect_list(F.when(F.col("__f") <= rare, F.col(item)))).alias("rare_items"))
+    out = met.groupBy(row_id).agg(F.count("*").alias("n_items"), F.min("__f").alias("__m"), F.array_sort(F.collect_list(F.when(F.col("__f") <= rare, F.struct("__f", F.col(item).alias("i"))))).alias("__rare"))
     score = -F.log10(F.greatest(F.col("__m"), F.lit(1.0 / n_rows))) + 0.04 * F.col("n_items")
-    return out.select(row_id, "n_items", F.bround(score, 6).alias("rarity"), "rare_items")
+    return out.select(row_id, "n_items", F.bround(score, 6).alias("rarity"), F.transform("__rare", lambda x: x["i"]).alias("rare_items"))
 
 
 def leak_audit(df: DataFrame, keys: Sequence[str], split: str) -> DataFrame:
@@ -64,6 +85,20 @@ def family_totals(long: DataFrame, table: DataFrame, row_id: str, item: str, n:
     return met.groupBy("family").agg(F.countDistinct(row_id).alias("records_present"), F.sum(n).alias("occurrences"))
 
 
+def exact_median(df: DataFrame, by: Sequence[str], value: str, name: str = "median") -> DataFrame:
+    """(by..., median): the middle value, or the mean of the two in the middle. Equal values are counted first, so a group is as long as it has different values."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("__n"))
+    w = Window.partitionBy(*by)
+    at = counts.withColumn("__total", F.sum("__n").over(w)).withColumn("__upto", F.sum("__n").over(w.orderBy(value)))
+    holds = lambda k: F.min(F.when(F.col("__upto") >= k, F.col(value).cast("double")))
+    return at.groupBy(*by).agg(((holds(F.floor((F.col("__total") + 1) / 2)) + holds(F.floor(F.col("__total") / 2) + 1)) / 2).alias(name))
+
+
+def group_sizes(df: DataFrame, keys: Sequence[str], name: str = "size") -> DataFrame:
+    """df with the number of rows that share its keys, counted with partial sums and joined back."""
+    return df.join(df.groupBy(*keys).agg(F.count("*").alias(name)), list(keys))
+
+
 def check(df: DataFrame, all_true: Mapping[str, Column], unique: Sequence[str] = (), n_rows: int | None = None) -> DataFrame:
     """One row: rows, a boolean for each constraint, and `passed`, their conjunction. Unknown is false."""
     aggs = [F.count("*").alias("rows")]

@@ -44,3 +44,8 @@ def classify(df: DataFrame, rules: Sequence[tuple[Column, Mapping[str, Column |
     value = lambda x: x if isinstance(x, Column) else F.lit(x)
     out = {name: F.get(F.array(value(other), *[value(v.get(name)) for _, v in rules]), F.col(at)) for name, other in default.items()}
     return numbered.withColumns(out).drop(at)
+
+
+def decided(df: DataFrame, table: Sequence[Mapping[str, str]], default: Mapping[str, Column | str | int | None]) -> DataFrame:
+    """As `classify`, of a table of rules in SQL: each has a condition `when` and expressions for the columns it sets."""
+    return classify(df, [(F.expr(r["when"]), {k: F.expr(v) for k, v in r.items() if k != "when"}) for r in table], default)

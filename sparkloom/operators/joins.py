@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+from .selection import numbered
+
 #: Distinct prefixes or intervals that are broadcast at most; more are joined by equality on depth or time bucket.
 BROADCAST_ROWS = 10_000
 
@@ -93,12 +96,38 @@ def asof_join(left: DataFrame, right: DataFrame, on: str, by: str, values: Seque
     return out.select(*left.columns, *[F.col(f"__last.v.{v}").alias(f"last_{v}") for v in values], F.col("__last.o").alias(f"last_{on}"))
 
 
+def _pieces(intervals: DataFrame, start: str, end: str, ordinal: str, value: str) -> DataFrame:
+    """(x, value): from each bound x to the next, the value of the first interval that covers it, or null.
+
+    Bounds are numbered, and each interval is cut into the few aligned runs of 1, 2, 4 ...
+    numbers that make it up; a piece meets the runs it lies in by equality, one for each power of two.
+    """
+    spans = intervals.select(F.col(start).alias("__s"), F.col(end).alias("__e"), F.col(ordinal).alias("__k"), F.col(value).alias("__v")).filter("__s < __e")
+    bounds = numbered(spans.select(F.col("__s").alias("x")).union(spans.select("__e")).distinct(), [F.col("x")], "__i").withColumn("__i", F.col("__i") - 1)
+    levels = max(1, bounds.count()).bit_length()
+    at = lambda c, name: bounds.select(F.col("x").alias(c), F.col("__i").alias(name))
+    spans = spans.join(at("__s", "__a"), "__s").join(at("__e", "__b"), "__e").select("__a", "__b", "__k", "__v")
+
+    def runs(level: Column) -> Column:
+        size = F.pow(F.lit(2.0), level)
+        low, high = F.ceil(F.col("__a") / size), F.floor(F.col("__b") / size)
+        left = F.when((low < high) & (low % 2 == 1), F.struct(level.alias("l"), low.alias("c")))
+        right = F.when((low < high) & (high % 2 == 1), F.struct(level.alias("l"), (high - 1).alias("c")))
+        return F.array(left, right)
+
+    every = F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(levels)), runs)), lambda x: x.isNotNull())
+    cells = spans.select(F.explode(every).alias("__r"), "__k", "__v").groupBy("__r.l", "__r.c").agg(F.min(F.struct("__k", "__v")).alias("__m"))
+    up = F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda l: F.struct(l.alias("l"), F.floor(F.col("__i") / F.pow(F.lit(2.0), l)).alias("c")))
+    met = bounds.select("x", "__i", F.explode(up).alias("__u")).select("x", "__u.l", "__u.c").join(cells, ["l", "c"], "left")
+    return met.groupBy("x").agg(F.min("__m").alias("__m")).select("x", F.col("__m.__v").alias(value))
+
+
 def interval_first(left: DataFrame, intervals: DataFrame, at: str, start: str, end: str, ordinal: str, value: str, default: Column) -> DataFrame:
     """left with the value of the first interval (least ordinal) with start <= at < end, else the default.
 
     A short list of intervals (checked: BROADCAST_ROWS) becomes one sorted array that is
     broadcast; a longer one is cut at all its bounds into disjoint pieces, each with its
-    first interval, and found as-of.
+    first interval, and found as-of, in ranges of `at` with about as many rows each.
     """
     n = intervals.count()
     if n <= BROADCAST_ROWS:
@@ -106,18 +135,21 @@ def interval_first(left: DataFrame, intervals: DataFrame, at: str, start: str, e
         every = intervals.agg(F.array_sort(F.collect_list(pack)).alias("__all"))
         found = F.get(F.filter("__all", lambda s: (s["a"] <= F.col(at)) & (F.col(at) < s["b"])), F.lit(0))["v"]
         return left.join(F.broadcast(every)).withColumn(value, F.coalesce(found, default)).drop("__all")
-    bounds = intervals.select(F.col(start).alias("x")).union(intervals.select(F.col(end))).distinct()
-    pieces = bounds.join(intervals, (F.col(start) <= F.col("x")) & (F.col("x") < F.col(end)), "left")
-    pieces = pieces.groupBy("x").agg(F.min_by(value, ordinal).alias(value)).select(F.col("x").alias(at), value, F.lit(0).alias("__one"))
-    out = asof_join(left.withColumn("__one", F.lit(0)), pieces, at, "__one", [value])
-    return out.withColumn(value, F.coalesce(F.col(f"last_{value}"), default)).drop("__one", f"last_{value}", f"last_{at}")
+    pieces = written(_pieces(intervals, start, end, ordinal, value), "pieces")
+    parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cuts = left.select(F.col(at).cast("double").alias("x")).approxQuantile("x", [i / parts for i in range(1, parts)], 0.25 / parts)
+    cut = F.array(*[F.lit(c) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<double>")
+    bucket = F.size(F.filter(cut, lambda c: c <= F.col(at)))
+    one = pieces.select(F.col("x").alias(at), value, F.lit(0).alias("__one"))
+    out = asof_join(left.withColumn("__one", F.lit(0)), one, at, "__one", [value], bucket)
+    return out.select(*left.columns, F.coalesce(F.col(f"last_{value}"), default).alias(value))
 
 
 def coalesce_lookup(left: DataFrame, right: DataFrame, keys: Sequence[Column], right_key: str, value: str, default: Column) -> DataFrame:
-    """left with the value of the first of several candidate keys that right has, else the default."""
+    """left with the value of the first of several candidate keys that right has, else the default; of several values of a key the least counts."""
     (row,) = ("__row",)
     tagged = left.withColumn(row, F.struct(*left.columns)).withColumn("__keys", F.array(*keys))
-    table = right.groupBy(right_key).agg(F.first(value).alias("__v"))
+    table = right.groupBy(right_key).agg(F.min(value).alias("__v"))
     out = tagged
     for i in range(len(keys)):
         out = out.join(table.select(F.col(right_key).alias(f"__k{i}"), F.col("__v").alias(f"__v{i}")), F.get("__keys", F.lit(i)) == F.col(f"__k{i}"), "left")

@@ -85,3 +85,27 @@ def allocate(reps: DataFrame, cluster: str, ranked: Sequence[tuple[str, int, Seq
         picks.append(took)
         left = left.join(took.select(cluster), cluster, "left_anti")
     return reduce(DataFrame.unionByName, picks, left.select(cluster).withColumn("split", F.lit(rest)))
+
+
+def prefix(df: DataFrame, order: Sequence[Column], n: int = 100) -> DataFrame:
+    """The first n rows in order: a distributed top-n."""
+    return df.orderBy(*order).limit(n)
+
+
+def drawn(df: DataFrame, share: float, seed: int, replace: bool = True) -> DataFrame:
+    """A seeded random sample, by default with replacement, of about `share` of the rows; the same for the same rows in the same partitions."""
+    return df.sample(withReplacement=replace, fraction=share, seed=seed)
+
+
+def first_samples(df: DataFrame, split: str, order: Sequence[Column], n: int | None, column: str = "split") -> DataFrame:
+    """The rows of a split, or the first n of them: what a training run reads."""
+    rows = df.filter(F.col(column) == split)
+    return rows if n is None else prefix(rows, order, n)
+
+
+def at_least(df: DataFrame, n: int, what: str = "rows", exact: bool = False) -> DataFrame:
+    """df, if it has n rows at least (or, with `exact`, just n); else raises ValueError."""
+    found = df.count()
+    if found < n or exact and found != n:
+        raise ValueError(f"{found} {what}, {'not' if exact else 'fewer than'} {n}")
+    return df

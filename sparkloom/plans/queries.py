@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import coerce
 from ..operators import aggregates, gates, joins, selection, windows
+from ..sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -274,13 +275,13 @@ SELECT event_id, x - lag(x) OVER w AS gap_before, lead(x) OVER w - x AS gap_afte
 FROM (SELECT *, epoch_us(ts) // 1000000 AS x FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY x, event_id)""")
 def q_gaps(spark, sf_dir):
     e = _t(spark, sf_dir, "events").select("event_id", "user_id", _seconds("ts").alias("x"))
-    return windows.gap_bounds(e, "user_id", "x", F.lit(3600).cast("long")).select("event_id", "gap_before", "gap_after", "gap_bound")
+    return windows.gap_bounds(e, "user_id", "x", F.lit(3600).cast("long"), F.floor(F.col("x") / 86_400)).select("event_id", "gap_before", "gap_after", "gap_bound")
 
 
 @_query("SELECT event_id, sum(round(value * 100)::BIGINT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS running FROM events")
 def q_prefix_sum(spark, sf_dir):
     e = _t(spark, sf_dir, "events").withColumn("cents", F.round(F.col("value") * 100).cast("long"))
-    return windows.running_sum(e, "user_id", ["ts", "event_id"], "cents").select("event_id", "running")
+    return windows.running_sum(e, "user_id", ["ts", "event_id"], "cents", bucket=F.date_trunc("DAY", "ts")).select("event_id", "running")
 
 
 @_query("SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2")
@@ -295,20 +296,18 @@ def q_topk_first_seen(spark, sf_dir):
 
 @_query("""
 WITH r AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) // 2000 AS shard FROM orders)
-SELECT printf('part-%05d', shard) AS file, count(*) AS rows, min(o_orderkey) AS least, max(o_orderkey) AS greatest FROM r GROUP BY shard""")
+SELECT printf('part-%05d', shard + 1) AS file, count(*) AS rows, min(o_orderkey) AS least, max(o_orderkey) AS greatest FROM r GROUP BY shard""")
 def q_shard_index(spark, sf_dir):
-    rows = selection.numbered(_t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), [F.asc("o_orderdate"), F.asc("o_orderkey")], "n")
-    sharded = rows.withColumn("shard", F.expr("(n - 1) div 2000"))
-    out = sharded.groupBy("shard").agg(F.count("*").alias("rows"), F.min("o_orderkey").alias("least"), F.max("o_orderkey").alias("greatest"))
-    return out.select(F.format_string("part-%05d", "shard").alias("file"), "rows", "least", "greatest")
+    rows = sinks.sharded(_t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), [F.asc("o_orderdate"), F.asc("o_orderkey")], 2000)
+    out = rows.groupBy("__shard").agg(F.count("*").alias("rows"), F.min("o_orderkey").alias("least"), F.max("o_orderkey").alias("greatest"))
+    return out.select(F.format_string("part-%05d", "__shard").alias("file"), "rows", "least", "greatest")
 
 
 @_query("""SELECT '{"key":' || n_nationkey || ',"name":"' || n_name || '","region":"' || r_name || '"}' AS value FROM nation JOIN region ON r_regionkey = n_regionkey""")
 def q_jsonl(spark, sf_dir):
     region = _t(spark, sf_dir, "region")
     nation = _t(spark, sf_dir, "nation").join(region, F.col("r_regionkey") == F.col("n_regionkey"))
-    fields = {"name": F.col("n_name"), "key": F.col("n_nationkey"), "region": F.col("r_name")}
-    return nation.select(F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)])).alias("value"))
+    return sinks.json_lines(nation.select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("key"), F.col("r_name").alias("region")))
 
 
 @_query("""
@@ -325,8 +324,10 @@ def q_setops(spark, sf_dir):
 @_query("""
 SELECT l_returnflag, count(*) AS rows, median(l_quantity)::DOUBLE AS median_quantity, (sum(l_quantity)::BIGINT * 1000) // count(*) AS mean_milli FROM lineitem GROUP BY 1""")
 def q_median_stats(spark, sf_dir):
+    items = _t(spark, sf_dir, "lineitem")
     mean = F.floor(F.sum("l_quantity").cast("long") * 1000 / F.count("*")).alias("mean_milli")
-    return _t(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.count("*").alias("rows"), F.median("l_quantity").alias("median_quantity"), mean)
+    stats = items.groupBy("l_returnflag").agg(F.count("*").alias("rows"), mean)
+    return stats.join(aggregates.exact_median(items, ["l_returnflag"], "l_quantity", "median_quantity"), "l_returnflag")
 
 
 @_query("""
@@ -377,8 +378,8 @@ def q_representative(spark, sf_dir):
 WITH t AS (SELECT event_id, user_id, event_type, count(*) OVER (PARTITION BY user_id, event_type) AS n FROM events)
 SELECT event_id, CASE WHEN n > 60 THEN event_type ELSE 'single' END AS anchor FROM t""")
 def q_group_demote(spark, sf_dir):
-    n = F.count("*").over(Window.partitionBy("user_id", "event_type"))
-    return _t(spark, sf_dir, "events").select("event_id", F.when(n > 60, F.col("event_type")).otherwise("single").alias("anchor"))
+    e = aggregates.group_sizes(_t(spark, sf_dir, "events"), ["user_id", "event_type"])
+    return e.select("event_id", F.when(F.col("size") > 60, F.col("event_type")).otherwise("single").alias("anchor"))
 
 
 @_query("SELECT c_nationkey, max(c_acctbal) AS best, arg_max(c_custkey, (c_acctbal, -c_custkey)) AS who FROM customer GROUP BY 1")

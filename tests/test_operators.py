@@ -132,3 +132,45 @@ def test_aggregates(spark):
     report = aggregates.check(df, {"low": F.col("o") < 4}, ["k"], 5).first()
     assert (report.rows, report.low, report.unique_k, report.row_count, report.passed) == (5, False, False, True, False)
     assert aggregates.check(df.limit(0), {"low": F.col("o") < 4}).first().passed
+
+
+def test_first_of_many_intervals(spark, monkeypatch):
+    import random
+
+    from sparkloom.operators import joins
+
+    rng = random.Random(2)
+    rows = [(k, float(a := rng.randrange(100)), float(a + rng.randrange(-3, 40)), f"v{k}") for k in range(150)]
+    points = [(i, rng.randrange(-5, 150) / 2) for i in range(400)] + [(999, None)]
+    want = {i: next((v for k, a, b, v in rows if x is not None and a <= x < b), "none") for i, x in points}
+    intervals, left = spark.createDataFrame(rows, "k int, a double, b double, v string"), spark.createDataFrame(points, "i int, x double")
+    for most in (10_000, 10):
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", most)
+        got = joins.interval_first(left, intervals, "x", "a", "b", "k", "v", F.lit("none"))
+        assert {r.i: r.v for r in got.collect()} == want and got.columns == ["i", "x", "v"]
+
+
+def test_buckets_change_no_window(spark):
+    import random
+
+    from sparkloom.operators import aggregates, windows
+
+    rng = random.Random(3)
+    rows = [(rng.choice("ab"), i * 7 % 300, rng.randrange(50)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, t int, v int")
+    for of in (lambda b: windows.gap_bounds(df, "g", "t", F.lit(9), b), lambda b: windows.running_sum(df, "g", ["t"], "v", bucket=b)):
+        plain, cut = of(None), of(F.floor(F.col("t") / 40))
+        assert sorted(map(tuple, cut.select(*plain.columns).collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    medians = {r.g: r.median for r in aggregates.exact_median(df, ["g"], "v").collect()}
+    import statistics
+
+    assert medians == {g: statistics.median(v for h, _, v in rows if h == g) for g in "ab"}
+
+
+def test_rare_items_come_by_frequency(spark):
+    from sparkloom.operators import aggregates
+
+    long = spark.createDataFrame([(r, i) for r in range(100) for i in {0, 5 if r < 2 else 0, 3 if r < 1 else 0, 9 if r < 1 else 0}], "r int, i int")
+    got = {r.r: r.rare_items for r in aggregates.rarity(long, "r", "i", 100, 0.02).collect()}
+    assert got[0] == [3, 9, 5] and got[1] == [5] and got[50] == []
+    assert sorted(r.i for r in aggregates.rare_items(long, "r", "i", 100, 0.02).collect()) == [3, 9]  # at just 2 % it isn't rare here

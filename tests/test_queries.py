@@ -9,6 +9,7 @@ import duckdb
 import pytest
 
 from sparkloom.plans import queries as Q
+from sparkloom.plans import wide_queries  # noqa: F401  (registers its queries)
 
 SF = "/root/testdata/sf0.001"
 

@@ -1,6 +1,7 @@
 """Training splits without leaks."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from sparkloom.plans import splits as S
 
@@ -27,18 +28,35 @@ def test_manifest(spark):
     assert sorted(map(str, S.training_manifest(pairs(spark), 4, 5, 3, 6).collect())) == sorted(map(str, rows))
     balance = {r.program: r for r in S.program_balance(m).collect()}
     assert balance[0].records_present == 40 and balance[0].record_fraction == "1.00000000"
-    assert {r.family: r.occurrences for r in S.family_balance(m).collect()}["keys"] >= 40 and S.keys_risk(S.family_balance(m)) in (True, False)
+    families = {r.family: r for r in S.family_balance(m).collect()}
+    assert families["keys"].occurrences >= 40 and families["keys"].record_fraction == "1.00000000"
+    assert S.keys_risk(S.family_balance(m)) == (families["keys"].records_present > 2 * max(1, families["guitar"].records_present)) is True
+    out = S.training_output(m)
+    assert len(out.columns) == 37 and S.checked(out, 4, 5, 3, 6).count() == 40
+    for wrong in (out.limit(39), out.withColumn("alignment_gate", F.lit("FAIL")), out.withColumn("model_pseudo_label", F.lit(1)), out.withColumn("work_cluster_id", F.lit("w"))):
+        with pytest.raises(ValueError):
+            S.checked(wrong, 4, 5, 3, 6)
+    assert {n: out.filter(t).count() for n, t in S.FAN.items()}["dev"] == 4
+    cover = S.coverage(m)
+    assert cover["records"] == 40 and cover["rare_gm_programs_under_1pct"] == [] and cover["risk_flags"]["keys_overrepresentation"]
 
 
 def test_shared_arrangement_leaks(spark):
-    rows = pairs(spark, 40, True).replace({"Piece 0 (live) mvt II": "Other"}, subset=["title"])
+    rows = pairs(spark, 40, True).withColumn("title", F.when(F.col("pair_id") == "id000", "Other").otherwise(F.col("title")))
     m = S.training_manifest(rows, 4, 5, 3, 6)
-    splits = {r.cluster_split for r in m.filter("pdmx_path = 'same'").collect()}
-    assert S.leaks(m).filter("key_name = 'arrangement_cluster_id'").count() == (1 if len(splits) > 1 else 0)
+    at = {r.pair_id: r.cluster_split for r in m.filter("pdmx_path = 'same'").collect()}
+    assert set(at) == {"id000", "id001"} and len({r.work_cluster_id for r in m.filter("pdmx_path = 'same'").collect()}) == 2
+    leaked = S.leaks(m.withColumn("cluster_split", F.when(F.col("pair_id") == "id000", "train").when(F.col("pair_id") == "id001", "strict_dev").otherwise(F.col("cluster_split"))))
+    assert {r.key_name for r in leaked.collect()} >= {"arrangement_cluster_id", "audio_variant_cluster_id"}
+
+
+def test_programs_from_the_second_column(spark):
+    rows = pairs(spark).withColumn("raw_gm_programs_0based", F.lit("7 9")).withColumn("tracks", F.when(F.col("pair_id") == "id003", "").otherwise(F.col("tracks")))
+    assert S.clustered(rows).filter("pair_id = 'id003'").first().programs == [7, 9]
 
 
 def test_bad_input(spark):
-    for bad in (pairs(spark).union(pairs(spark).limit(1)), pairs(spark).replace({"0-0-0": ""}, subset=["tracks"]), pairs(spark).replace({"True": "no"}, subset=["eligible_exact_pair"])):
+    for bad in (pairs(spark).union(pairs(spark).limit(1)), pairs(spark).replace({"0-0-0": ""}, subset=["tracks"]), pairs(spark).replace({"True": "no"}, subset=["eligible_exact_pair"]), pairs(spark).replace({"True": "y"}, subset=["eligible_exact_pair"])):
         with pytest.raises(ValueError):
             S.training_manifest(bad, 1, 1, 1, 1)
     with pytest.raises(ValueError):
