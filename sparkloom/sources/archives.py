@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..session import ship
@@ -115,3 +116,11 @@ def members(spark: SparkSession, path: str, suffixes: tuple[str, ...] = (), cont
                     )
 
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, SCHEMA)
+
+
+def extensions(members: DataFrame, member: str = "member") -> DataFrame:
+    """(extension, rows) over all members, most frequent first; '<none>' for names without one."""
+    name = F.lower(F.substring_index(member, "/", -1))
+    found = F.regexp_extract(name, r"^.+(\.[^.]+)$", 1)
+    kind = F.when(found != "", found).otherwise("<none>").alias("extension")
+    return members.select(kind).groupBy("extension").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "extension")

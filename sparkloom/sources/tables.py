@@ -53,11 +53,34 @@ def read_parquet_union(spark: SparkSession, paths: list[str], columns: Iterable[
 def headers(spark: SparkSession, path: str, glob: str = "*.csv", sep: str = ",") -> DataFrame:
     """(path, header array, n_rows) of side files: their columns are data.
 
-    A file of blank lines has an empty header; files of no bytes are left out by Spark's reader."""
+    Files of blank lines or of no bytes have an empty header. Names may be quoted, with separators and
+    doubled quotes inside."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     lines = F.filter(F.split(F.regexp_replace(F.col("content").cast("string"), "^\ufeff", ""), r"\r?\n"), lambda x: F.trim(x) != "")
-    head = F.when(F.size("lines") > 0, F.transform(F.split(F.get("lines", F.lit(0)), sep), lambda x: F.trim(F.regexp_replace(x, '^"|"$', "")))).otherwise(F.array().cast("array<string>"))
-    return files.select("path", lines.alias("lines")).select("path", head.alias("header"), F.greatest(F.size("lines") - 1, F.lit(0)).alias("n_rows"))
+    # each name with the separator before it: quoted, or up to the next separator
+    cut = "\\Q" + sep + "\\E"
+    names = F.regexp_extract_all(F.concat(F.lit(sep), F.get("lines", F.lit(0))), F.lit(f'{cut}((?:"(?:[^"]|"")*"|(?!{cut}).)*)'), F.lit(1))
+    plain = lambda x: F.replace(F.regexp_replace(F.trim(x), '^"|"$', ""), F.lit('""'), F.lit('"'))
+    head = F.when(F.size("lines") > 0, F.transform(names, plain)).otherwise(F.array().cast("array<string>"))
+    found = files.select("path", lines.alias("lines")).select("path", head.alias("header"), F.greatest(F.size("lines") - 1, F.lit(0)).alias("n_rows"))
+    empty = [(p,) for p in _files(spark, path, glob) if p[1] == 0]
+    none = spark.createDataFrame([(p[0],) for (p,) in empty], "path string")  # readers pass over files of no bytes; the listing has them
+    return found.unionByName(none.select("path", F.array().cast("array<string>").alias("header"), F.lit(0).alias("n_rows")).join(found.select("path"), "path", "left_anti"))
+
+
+def _files(spark: SparkSession, root: str, glob: str) -> list[tuple[str, int]]:
+    """(path, size) of the files below root whose names match, by the file system's own listing."""
+    from fnmatch import fnmatch
+
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    at = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(top, True)
+    out = []
+    while at.hasNext():
+        f = at.next()
+        if fnmatch(f.getPath().getName(), glob):
+            out.append((f.getPath().toString(), f.getLen()))
+    return out
 
 
 def tree(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -71,10 +94,12 @@ def _quoted(text: str) -> str:
     return "\\Q" + text.removeprefix("file://") + "\\E"
 
 
-def exactly_one(files: DataFrame, folder: str, what: str) -> DataFrame:
-    """One row for each folder; raises when the plan runs if a folder has more."""
-    n = files.groupBy(folder).agg(F.count("*").alias("__n"), F.first("path").alias(what))
-    return n.withColumn(what, F.when(F.col("__n") == 1, F.col(what)).otherwise(F.raise_error(F.concat(F.lit(f"not exactly one {what} in "), folder)))).drop("__n")
+def exactly_one(files: DataFrame, folder: str, what: str, folders: DataFrame | None = None) -> DataFrame:
+    """One row for each folder (of `folders`, if given, else of those with files); raises when the plan runs if a folder has more, or none."""
+    n = files.groupBy(folder).agg(F.count("*").alias("__n"), F.min("path").alias(what))
+    if folders is not None:
+        n = folders.select(folder).distinct().join(n, folder, "left")
+    return n.withColumn(what, F.when(F.coalesce("__n", F.lit(0)) == 1, F.col(what)).otherwise(F.raise_error(F.concat(F.lit(f"not exactly one {what} in "), folder)))).drop("__n")
 
 
 def json_strings(value: Column, df: DataFrame) -> Column:

@@ -26,15 +26,19 @@ def window_counts(stream: DataFrame, at: str, key: str, size: str = "10 minutes"
 PAIRED = "track string, pitch int, velocity int, on_tick long, off_tick long"
 
 
-def paired_notes(stream: DataFrame) -> DataFrame:
+def paired_notes(stream: DataFrame, idle_ms: int | None = None) -> DataFrame:
     """Notes of a stream of events (track, seq, tick, pitch, velocity); velocity 0 ends the oldest open note of a pitch.
 
     Open notes are kept as state for each track, so pairs form across micro-batches; ends
-    without an open note are ignored. Within a batch events go by seq.
+    without an open note are ignored. Within a batch events go by seq. With idle_ms a track
+    without events for so long is forgotten, with its open notes; such a query has a batch at every trigger.
     """
     ship(stream.sparkSession)
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if idle_ms is not None and state.hasTimedOut:
+            state.remove()
+            return
         held = {int(k): v for k, v in json.loads(state.get[0]).items()} if state.exists else {}
         rows = []
         events = pd.concat(list(parts)).sort_values("seq")
@@ -45,7 +49,33 @@ def paired_notes(stream: DataFrame) -> DataFrame:
             elif queue:
                 on, velocity = queue.pop(0)
                 rows.append((key[0], int(e.pitch), velocity, on, max(int(e.tick), on + 1)))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         state.update((json.dumps({k: v for k, v in held.items() if v}),))
         yield pd.DataFrame(rows, columns=["track", "pitch", "velocity", "on_tick", "off_tick"])
 
-    return stream.groupBy("track").applyInPandasWithState(run, PAIRED, "held string", "append", "NoTimeout")
+    return stream.groupBy("track").applyInPandasWithState(run, PAIRED, "held string", "append", "NoTimeout" if idle_ms is None else "ProcessingTimeTimeout")
+
+
+def flushed(stream: DataFrame, path: str, checkpoint: str, order: list[str], rows_per_shard: int):
+    """Starts a query that writes each micro-batch as Parquet files of rows_per_shard rows at most, in order, into a folder of its own.
+
+    A batch that is run again after a failure writes the same folder over, so each row is there once.
+    What was read, and so where a restart goes on, is in the checkpoint.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.repartitionByRange(*order).sortWithinPartitions(*order)
+        rows.write.mode("overwrite").option("maxRecordsPerFile", rows_per_shard).parquet(f"{path.rstrip('/')}/batch={number:08d}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def log_lines(stream: DataFrame, path: str, checkpoint: str):
+    """Starts a query that adds rows as JSON lines to a log that only grows; it goes on where its checkpoint says."""
+    return stream.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
+def resumable(stream: DataFrame, path: str, checkpoint: str):
+    """Starts a query that copies a stream to Parquet, exactly once; run again, it reads on from its last position, which the checkpoint keeps."""
+    return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -92,12 +92,12 @@ def test_json(spark):
 def test_shards_and_checksums(spark, tmp_path):
     df = spark.range(25).selectExpr("id", "id % 2 = 0 AS even", "concat('t,', id) AS text").repartition(4)
     index = sinks.write_shards(df, str(tmp_path / "s"), [F.desc("id")], 10, ["text", "id", "even"]).collect()
-    assert [(r.file, r.rows) for r in index] == [("part-00000.csv.gz", 10), ("part-00001.csv.gz", 10), ("part-00002.csv.gz", 5)]
-    with gzip.open(tmp_path / "s/part-00000.csv.gz", "rt") as f:
+    assert [(r.file, r.rows) for r in index] == [("part-00001.csv.gz", 10), ("part-00002.csv.gz", 10), ("part-00003.csv.gz", 5)]
+    with gzip.open(tmp_path / "s/part-00001.csv.gz", "rt") as f:
         assert f.read().splitlines()[:2] == ["text,id,even", '"t,24",24,True']
     from hashlib import sha256
 
-    assert index[1].sha256 == sha256((tmp_path / "s/part-00001.csv.gz").read_bytes()).hexdigest()
+    assert index[1].sha256 == sha256((tmp_path / "s/part-00002.csv.gz").read_bytes()).hexdigest()
     assert sinks.checksum_lines(sinks.checksums(spark, str(tmp_path / "s"), "*.gz")).count("\n") == 3
     sinks.complete(spark, str(tmp_path / "s"), {"rows": 25})
     assert json.loads((tmp_path / "s/_COMPLETE.json").read_text()) == {"rows": 25}
@@ -114,3 +114,73 @@ def test_replace_and_fan_out(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "f/low")).count() == 4
     assert [r.value for r in sinks.json_lines(spark.sql("SELECT 'é' AS b, 1 AS a, CAST(null AS int) AS c")).collect()] == ['{"a":1,"b":"é","c":null}']
     assert sinks.report("T", {"rows": 1234567}).endswith("- rows: 1,234,567\n") and sinks.empty_table(spark, "a int").count() == 0
+
+
+def test_long_shards_never_split_a_record(spark, tmp_path):
+    import random
+
+    rng = random.Random(1)
+    sizes = {f"r{i:03d}": rng.randrange(0, 9) for i in range(60)}
+    records = spark.createDataFrame([(r,) for r in sizes], "id string")
+    long = spark.createDataFrame([(r, k) for r, n in sizes.items() for k in range(n)], "id string, k int")
+    want, shard, held = {}, 1, 0
+    for r in sorted(sizes):
+        want[r], held = shard, held + sizes[r]
+        if held >= 20:
+            shard, held = shard + 1, 0
+    got = {r.id: r["__shard"] for r in sinks.long_shards(records, long, "id", [F.asc("id")], 20).collect()}
+    assert got == {r: want[r] for r in got} and set(got) == {r for r, n in sizes.items() if n}
+    index = sinks.write_long_shards(records, long, str(tmp_path / "long"), "id", [F.asc("id")], "k", 20).collect()
+    assert sum(r.rows for r in index) == sum(sizes.values()) and index[0].file == "part-00001.csv.gz" and len(index) == len(set(got.values()))
+
+
+def test_publish_has_no_moment_without_rows(spark, tmp_path):
+    target = str(tmp_path / "p")
+    for n in (3, 5):
+        sinks.publish(spark.range(n), target)
+        assert sinks.published(spark, target).count() == n
+
+
+def test_summaries_reports_logs_and_provenance(spark, tmp_path, capsys):
+    path = str(tmp_path / "summary.json")
+    sinks.write_summary(spark, path, {"b": 1, "a": "é"})
+    assert (tmp_path / "summary.json").read_text() == '{\n  "a": "é",\n  "b": 1\n}\n'
+    assert sinks.patch_summary(spark, path, {"b": 2, "c": []}) == {"a": "é", "b": 2, "c": []} == json.loads((tmp_path / "summary.json").read_text())
+    (tmp_path / "README.md").write_text("# T\n")
+    for _ in range(2):
+        sinks.append_section(spark, str(tmp_path / "README.md"), "\nmore\n")
+    assert (tmp_path / "README.md").read_text() == "# T\n\nmore\n\nmore\n"
+    sinks.print_report({"x": 1})
+    assert json.loads(capsys.readouterr().out) == {"x": 1}
+    for n in (2, 3):
+        sinks.append_log(spark.range(n), str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 5
+    sinks.write_sample(spark.range(50), str(tmp_path / "sample"), [F.desc("id")], 3)
+    assert [r.id for r in tables.read_csv(spark, str(tmp_path / "sample")).collect()] == ["49", "48", "47"]
+    (tmp_path / "data").mkdir()
+    (tmp_path / "data/x").write_bytes(b"abc")
+    assert sinks.same_digest(spark, str(tmp_path / "data/x"), "900150983CD24FB0D6963F7D28E17F72") and not sinks.same_digest(spark, str(tmp_path / "data/x"), "0" * 64)
+    record = sinks.provenance(spark, {"data": str(tmp_path / "data")}, {}, {"steps": 3})
+    assert record["inputs"]["data"]["bytes"] == 3 and record["steps"] == 3
+
+
+def test_headers_of_odd_files(spark, tmp_path):
+    for name, text in {"a.csv": '"q,1",plain,"say ""hi"""\n1,2,3\n', "b.csv": "", "c.csv": "\n \n", "d.csv": "x\n"}.items():
+        (tmp_path / name).write_text(text)
+    got = {r.path.rsplit("/", 1)[1]: (r.header, r.n_rows) for r in tables.headers(spark, str(tmp_path)).collect()}
+    assert got == {"a.csv": (["q,1", "plain", 'say "hi"'], 1), "b.csv": ([], 0), "c.csv": ([], 0), "d.csv": (["x"], 0)}
+
+
+def test_exactly_one_file_in_each_folder(spark):
+    files = spark.createDataFrame([("a", "a/x"), ("b", "b/x")], "folder string, path string")
+    folders = spark.createDataFrame([("a",), ("b",), ("c",)], "folder string")
+    assert {r.folder: r.score for r in tables.exactly_one(files, "folder", "score").collect()} == {"a": "a/x", "b": "b/x"}
+    with pytest.raises(Exception, match="not exactly one"):
+        tables.exactly_one(files, "folder", "score", folders).collect()
+
+
+def test_extensions(spark):
+    from sparkloom.sources import archives
+
+    members = spark.createDataFrame([("a/b.TXT",), ("c.txt",), ("d.tar.gz",), ("e",), (".hidden",)], "member string")
+    assert [tuple(r) for r in archives.extensions(members).collect()] == [(".txt", 2), ("<none>", 2), (".gz", 1)]
