@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 from sparkloom.plans import queries as Q
-from sparkloom.plans import wide_queries  # noqa: F401  (registers its queries)
+from sparkloom.plans import more_queries, wide_queries  # noqa: F401  (they register their queries)
 
 SF = "/root/testdata/sf0.001"
 
