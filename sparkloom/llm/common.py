@@ -52,14 +52,15 @@ def salted_left_join(big: DataFrame, small: DataFrame, key: str, hot: list, by:
 
     `small` has one row per key; the few hot ones are repeated for each salt.
     `by` is the column of `big` that deals its hot rows out. Null keys match nothing.
+    `small` grows with the data, and well compressed files look smaller than they are: it is never broadcast.
     """
     (salt,) = hidden(big, "salt")
     if not hot:
-        return big.join(small, key, "left")
+        return big.join(small.hint("merge"), key, "left")
     is_hot = F.col(key).isin(hot)
     dealt = big.withColumn(salt, F.when(is_hot, F.pmod(F.xxhash64(F.lit("salt"), by), F.lit(salts))).otherwise(F.lit(0).cast("long")))
     spread = small.withColumn(salt, F.explode(F.when(is_hot, F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))))
-    return dealt.join(spread, [key, salt], "left").drop(salt)
+    return dealt.join(spread.hint("merge"), [key, salt], "left").drop(salt)
 
 
 def empty(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
