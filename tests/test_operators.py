@@ -174,3 +174,30 @@ def test_rare_items_come_by_frequency(spark):
     got = {r.r: r.rare_items for r in aggregates.rarity(long, "r", "i", 100, 0.02).collect()}
     assert got[0] == [3, 9, 5] and got[1] == [5] and got[50] == []
     assert sorted(r.i for r in aggregates.rare_items(long, "r", "i", 100, 0.02).collect()) == [3, 9]  # at just 2 % it isn't rare here
+
+
+def test_samples_preconditions_and_literals(spark):
+    import pytest
+
+    from sparkloom.functions import coerce
+    from sparkloom.operators import selection
+
+    df = spark.range(2000).repartition(4, "id")
+    one, two = (sorted(r.id for r in selection.drawn(df, 0.5, 7).collect()) for _ in range(2))
+    assert one == two and 800 < len(one) < 1200 and len(set(one)) < len(one)
+    assert selection.at_least(df, 2000, exact=True) is df
+    for n, exact in ((2001, False), (1999, True)):
+        with pytest.raises(ValueError):
+            selection.at_least(df, n, exact=exact)
+    for text in ("it's", "back\\slash", "'; --", "ünï"):
+        assert spark.sql(f"SELECT {coerce.sql_text(text)} AS t").first().t == text
+    now = spark.range(1).select(coerce.iso_now().alias("t"), coerce.seconds_between(coerce.iso_now(), F.lit("x")).alias("none")).first()
+    assert now.t.endswith("+00:00") and now.none is None
+
+
+def test_columns_that_are_headers(spark):
+    from sparkloom.operators import joins
+
+    rows = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "1")], "f string, n string")
+    headers = spark.createDataFrame([("a", ["q", "1_tstamp"]), ("b", ["2_tstamp"])], "f string, header array<string>")
+    assert [(r.f, r.n, r.alignment_column) for r in joins.header_join(rows, headers, "f", "n").collect()] == [("a", "1", "1_tstamp")]

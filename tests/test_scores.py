@@ -51,3 +51,23 @@ def test_selected(spark):
     members = spark.createDataFrame([("./mid/a.mid",), ("mid/b.mid",)], "member string")
     some, missing = S.selected(members, spark.createDataFrame([("mid/a.mid",), ("./mid/c.mid",), ("",)], "member string"))
     assert [r.member for r in some.collect()] == ["./mid/a.mid"] and [r.member for r in missing.collect()] == ["mid/c.mid"]
+
+
+def test_manifests_in_order(spark):
+    members = [("s/b.txt", b"0\t1\t60\t40\n"), ("s/a.txt", b"0\t2\t62\t41\n"), ("s/none.txt", b"x\n")]
+    songs = [("b", "alpha"), ("a", "Beta")]
+    notes = S.note_scores(spark.createDataFrame(members, "member string, content binary"), spark.createDataFrame(songs, "key string, song_name string"))
+    got = S.note_manifest(notes, {"human_performance_claim": False}).collect()
+    assert [(r.track_name, r.start_seconds, r.end_seconds, r.instrument_programs) for r in got] == [("alpha", "0.000000", "1.000000", "[40]"), ("Beta", "0.000000", "2.000000", "[41]")]
+    assert not got[0].human_performance_claim and got[0].metadata_sources == "" and got[0].score_bytes == 10
+    kind = "member string, content binary"
+    midi = bytes.fromhex("4d546864000000060000000100604d54726b0000000c00c0050090 3c40 00803c00 00ff2f00".replace(" ", ""))
+    scores = spark.createDataFrame([("d/M/one.abc", ABC), ("d/M/two.abc", ABC + b"%source here\n"), ("d/other/three.abc", ABC + b"%SOURCE here\n")], kind)
+    midis = spark.createDataFrame([("m/one.mid", midi), ("m/three.mid", midi)], kind)
+    rows = S.abc_scores(scores, midis, ["/M/"], content_markers=("source here",))
+    out = {r.score_member_path: r for r in S.abc_manifest(rows, {"license_claim": "x"}, midis).collect()}
+    assert {k: r.source_detection_method for k, r in out.items()} == {"d/M/one.abc": "path-marker", "d/M/two.abc": "path-marker", "d/other/three.abc": "abc-content-marker"}
+    assert out["d/M/one.abc"].source_midi_bytes == len(midi) and out["d/M/one.abc"].abc_midi_programs == "[40]" and out["d/M/two.abc"].source_midi_member_path == ""
+    assert S.match_rate(rows) == 2 / 3 and S.match_rate(rows.limit(0)) == 0
+    hints = spark.createDataFrame([("d/M/two.json", ["m/one.mid"], 1), ("d/x/two.json", ["m/three.mid"], 2)], "member string, names array<string>, ordinal int")
+    assert {r.member: r.midi_member for r in S.abc_scores(scores, midis, ["/M/"], hints=hints).collect()}["d/M/two.abc"] == "m/three.mid"  # the last hint of a name counts
