@@ -47,7 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir; where it is unset, a folder of our own on a local master, and an error elsewhere."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file:///tmp/checkpoints/sparkloom"
         spark.sparkContext.setCheckpointDir(found)
