@@ -70,10 +70,19 @@ def to_int(c: Column | str) -> Column:
     return F.coalesce(to_float(c).try_cast("long"), F.lit(0).cast("long"))
 
 
+def folded(c: Column | str) -> Column:
+    """The normalised text in lower case."""
+    return F.lower(norm_text(c))
+
+
+def mentions(c: Column | str, terms: Iterable[str]) -> Column:
+    """Whether any term occurs in a folded text. Where many lists are looked for, the folded text should be a column of its own."""
+    return reduce(lambda a, b: a | b, [_col(c).contains(x.lower()) for x in terms], F.lit(False))
+
+
 def contains_any(c: Column | str, terms: Iterable[str]) -> Column:
     """Whether any term occurs in the text, letter case aside and not bound to words."""
-    t = F.lower(norm_text(c))
-    return reduce(lambda a, b: a | b, [t.contains(x.lower()) for x in terms], F.lit(False))
+    return mentions(folded(c), terms)
 
 
 def parse_numbers(c: Column | str, low: int = 0, high: int = 127, max_digits: int | None = 3) -> Column:
