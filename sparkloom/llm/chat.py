@@ -70,22 +70,26 @@ def formatted(pairs: DataFrame) -> DataFrame:
 
 
 def swapped_pairs(turns: DataFrame) -> DataFrame:
-    """Pairs from a table of plain conversations: chosen is a conversation, rejected the same with the reply of another.
+    """Pairs from a table of plain conversations with integer ids: chosen is a conversation, rejected the same with the reply of another.
 
     Conversations 2k and 2k + 1 lend each other their last assistant text, which takes
     the place of the text of the last assistant turn and ends the conversation there. Without
-    such a partner or turn, rejected stops before the last turn.
+    such a partner or turn, rejected stops before the last turn. The two are put together in one group,
+    by one shuffle of the turns.
     """
-    whole = conversations(turns)
-    last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i)))
-    whole = whole.withColumn("last", last)
-    lend = whole.filter("last IS NOT NULL").select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.get("turns", F.col("last"))["text"].alias("reply"))
-    both = whole.join(lend, "conv_id", "left")
+    one = F.struct("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    both = turns.groupBy(F.shiftright("conv_id", 1).alias("pair")).agg(F.sort_array(F.collect_list(one)).alias("all"))
+    each = both.select("all", F.explode(F.array_distinct(F.transform("all", lambda t: t["conv_id"]))).alias("conv_id"))
+    plain = lambda test: F.transform(F.filter("all", test), lambda t: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), t["text"].alias("text")))
+    replies = F.transform(F.filter("all", lambda t: (t["conv_id"] == F.col("conv_id").bitwiseXOR(F.lit(1))) & (t["role"] == "assistant")), lambda t: t["text"])
+    rows = each.select("conv_id", plain(lambda t: t["conv_id"].eqNullSafe(F.col("conv_id"))).alias("turns"), F.try_element_at(replies, F.lit(-1)).alias("reply"))
+    kind = f"array<struct<turn:{turns.schema['turn'].dataType.simpleString()},role:string,text:string>>"
+    rows = rows.withColumn("turns", F.col("turns").cast(kind)).withColumn("last", F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == "assistant", i))))
     own = F.get("turns", F.col("last"))
     other = F.struct(own["turn"].alias("turn"), own["role"].alias("role"), F.col("reply").alias("text"))
     swapped = F.concat(F.slice("turns", 1, F.col("last")), F.array(other))
     rejected = F.when(F.col("last").isNotNull() & F.col("reply").isNotNull(), swapped).otherwise(F.slice("turns", 1, F.size("turns") - 1))
-    return both.select("conv_id", F.col("turns").alias("chosen"), rejected.cast(both.schema["turns"].dataType).alias("rejected"))
+    return rows.select("conv_id", F.col("turns").alias("chosen"), rejected.cast(kind).alias("rejected"))
 
 
 def op6(turns: DataFrame) -> DataFrame:
